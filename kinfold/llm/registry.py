@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import dedup, packing
+from . import dedup, jaccard, packing
 
 QUERIES = {
     "op2_packing": packing.op2_packing,
+    "op6_ngram_jaccard": jaccard.op6_ngram_jaccard,
     "op10_exact_dedup": dedup.op10_exact_dedup,
 }
 
 ORACLE_SQL = {
+    "op6_ngram_jaccard": jaccard.OP6_SQL,
     "op10_exact_dedup": dedup.OP10_SQL,
 }
