@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import dedup, jaccard, packing
+from . import dedup, jaccard, packing, toxicity
 
 QUERIES = {
     "op2_packing": packing.op2_packing,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op6_ngram_jaccard": jaccard.op6_ngram_jaccard,
     "op10_exact_dedup": dedup.op10_exact_dedup,
 }
