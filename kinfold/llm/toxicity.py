@@ -171,46 +171,54 @@ class Restorer:
         return counts, [self.model.decode(x) for x in ("".join(c for c in run if c.isalpha() or c in LEET) for run in apart if len(run) > 3) if len(set(x)) > 2]
 
 
+#: Lengths of word beginnings, and how often a text must hold one at least.
+LENGTHS, TIMES = range(3, 10), (1, 2, 3, 4)
+
+
 def beginnings(word: str) -> list[str]:
-    """A word's features: its beginnings of four to six letters; a shorter word itself."""
-    return [word[:k] for k in range(4, min(6, len(word)) + 1)] if len(word) >= 4 else [word]
+    """A word's beginnings of three to nine letters; a shorter word itself."""
+    return [word[:k] for k in LENGTHS if k <= len(word)] or [word]
 
 
 class Lexicon:
-    """Beginnings of toxic words and what they say about a text."""
+    """Signs of toxic texts: a word beginning, how often it must be there, and its log odds."""
 
-    def __init__(self, stems: list[str], weights: tuple[float, float, float]) -> None:
-        self.stems, self.weights = stems, weights
-        self.set = set(stems)
+    def __init__(self, signs: list[tuple[str, int, float]], weights: tuple[float, ...]) -> None:
+        self.signs, self.weights = signs, weights
+        self.stems = {stem for stem, _, _ in signs}
 
-    def hits(self, restorer: Restorer, text: str, known: dict[str, str | None]) -> tuple[int, int]:
-        """Different stems found and how often."""
+    def features(self, restorer: Restorer, text: str, known: dict[str, tuple[str, ...]]) -> tuple[float, float, float]:
+        """Largest log odds of the signs found, their sum, and log of how often stems stand in the text."""
         counts, apart = restorer.words(text)
         if len(known) > restorer.cache:
             known.clear()
         found: Counter = Counter()
         for word, n in counts.items():
-            if word not in known:
-                known[word] = self._stem(restorer.model, word)
-            if stem := known[word]:
+            stems = known.get(word)
+            if stems is None:
+                stems = known[word] = self._stems(restorer.model, word)
+            for stem in stems:
                 found[stem] += n
         for run in apart:
             found.update(s for s in self.stems if s in run)
-        return len(found), sum(found.values())
-
-    def _stem(self, model: CharModel, word: str) -> str | None:
-        for b in beginnings(word):
-            if b in self.set:
-                return b
+        if not found:
+            return 0.0, 0.0, 0.0
+        odds = [(w, found[s]) for s, times, w in self.signs if found[s] >= times]
+        return max((w for w, _ in odds), default=0.0), sum(w for w, _ in odds), math.log1p(sum(n for _, n in odds))
+
+    def _stems(self, model: CharModel, word: str) -> tuple[str, ...]:
+        hits = tuple(b for b in beginnings(word) if b in self.stems)
+        if hits:
+            return hits
         # A doubled letter: the lattice decides only where the single letter would make a hit.
         short = _RUN2.sub(r"\1", word)
-        if short != word and any(b in self.set for b in beginnings(short)):
-            return next((b for b in beginnings(model.decode(word)) if b in self.set), None)
-        return None
+        if short != word and any(b in self.stems for b in beginnings(short)):
+            return tuple(b for b in beginnings(model.decode(word)) if b in self.stems)
+        return ()
 
-    def score(self, kinds: int, total: int) -> float:
-        w0, w1, w2 = self.weights
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, w0 + w1 * kinds + w2 * math.log1p(total)))))
+    def score(self, features: tuple[float, ...]) -> float:
+        z = self.weights[0] + sum(w * x for w, x in zip(self.weights[1:], features, strict=True))
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
 def least_shingle(text: str) -> int:
@@ -234,20 +242,25 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[flo
     return tuple(float(v) for v in w)
 
 
-def choose_stems(toxic: dict[str, int], clean: dict[str, int], toxic_docs: int, clean_docs: int, least: int, odds: float) -> list[str]:
-    """Beginnings found in ``least`` toxic documents or more and at least ``odds`` (log) likelier there.
+def log_odds(toxic: int, clean: int, toxic_docs: int, clean_docs: int) -> float:
+    return math.log((toxic + 0.5) / (toxic_docs + 1)) - math.log((clean + 0.5) / (clean_docs + 1))
+
+
+def choose_signs(found: list[tuple[str, int, int, int]], toxic_docs: int, clean_docs: int, least: int, odds: float) -> list[tuple[str, int, float]]:
+    """From (stem, times, toxic, clean): signs of ``least`` toxic documents or more, at least ``odds`` (log) likelier there.
 
-    The most frequent comes first (ties: the longer, then by spelling); one that begins another,
-    or is begun by it, is left out after it.
+    The largest count times log odds comes first (ties: the longer stem, then by spelling, then the fewer
+    times); after it, other signs of the same stem, of what it begins with and of what begins with it are left out.
     """
-    fit = [
-        s for s, n in toxic.items()
-        if n >= least and math.log((n + 0.5) / (toxic_docs + 1)) - math.log((clean.get(s, 0) + 0.5) / (clean_docs + 1)) >= odds
-    ]
-    chosen: list[str] = []
-    for s in sorted(fit, key=lambda s: (-toxic[s], -len(s), s)):
-        if not any(s.startswith(c) or c.startswith(s) for c in chosen):
-            chosen.append(s)
+    fit = [(-toxic * w, -len(stem), stem, times, w) for stem, times, toxic, clean in found if toxic >= least and (w := log_odds(toxic, clean, toxic_docs, clean_docs)) >= odds]
+    chosen: list[tuple[str, int, float]] = []
+    begun: set[str] = set()  # every beginning of a chosen stem
+    stems: set[str] = set()
+    for _, _, stem, times, w in sorted(fit):
+        if stem not in begun and not any(stem[:k] in stems for k in range(1, len(stem))):
+            chosen.append((stem, times, w))
+            stems.add(stem)
+            begun.update(stem[:k] for k in range(1, len(stem) + 1))
     return chosen
 
 
@@ -284,41 +297,43 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model)
         for labels_, texts_ in common.columns_of(batches, "label", "text"):
-            toxic: list[tuple[str, int]] = []  # copies share their least shingle's hash, and so count once
+            toxic: list[tuple[str, int, int]] = []  # copies share their least shingle's hash, and so count once
             clean: Counter = Counter()
             for label, text in zip(labels_, texts_, strict=True):
                 counts, apart = restorer.words(text or "")
-                found = {b for w in [*counts, *apart] for b in beginnings(w)}
+                found: Counter = Counter()
+                for w, n in [*counts.items(), *((w, 1) for w in apart)]:
+                    for b in beginnings(w):
+                        found[b] += n
+                signs = [(b, t) for b, n in found.items() for t in TIMES if t <= n]
                 if label:
                     key = least_shingle(text or "")
-                    toxic += [(b, key) for b in found]
+                    toxic += [(b, t, key) for b, t in signs]
                 else:
-                    clean.update(found)
-            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in toxic] + [*clean], pa.string()), pa.array([d for _, d in toxic] + [None] * len(clean), pa.int64()), pa.array([0] * len(toxic) + [*clean.values()], pa.int64())], names=["stem", "doc", "clean"])
+                    clean.update(signs)
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in toxic] + [b for b, _ in clean], pa.string()), pa.array([x[1] for x in toxic] + [t for _, t in clean], pa.int32()), pa.array([x[2] for x in toxic] + [None] * len(clean), pa.int64()), pa.array([0] * len(toxic) + [*clean.values()], pa.int64())], names=["stem", "times", "doc", "clean"])
 
     kinds = {r["label"]: r["n"] for r in texts.select("id", "label").distinct().groupBy("label").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = sum(n for k, n in kinds.items() if k), kinds.get(0, 0)
     if not n_toxic or not n_clean:
         rate = n_toxic / max(1, n_toxic + n_clean)
-        return model, Lexicon([], (math.log((rate + 1e-9) / (1 - rate + 1e-9)), 0.0, 0.0))
-    stems = texts.mapInArrow(features, "stem string, doc long, clean long").groupBy("stem").agg(F.count_distinct("doc").alias("toxic"), F.sum("clean").alias("clean"))
-    # Stems that can't be chosen are left out before they are sent; the sample bounds the others.
+        return model, Lexicon([], (math.log((rate + 1e-9) / (1 - rate + 1e-9)), 0.0, 0.0, 0.0))
+    counted = texts.mapInArrow(features, "stem string, times int, doc long, clean long").groupBy("stem", "times").agg(F.count_distinct("doc").alias("toxic"), F.sum("clean").alias("clean"))
+    # Signs that can't be chosen are left out before they are sent; the sample bounds the others.
     least = max(least, math.ceil(share * n_toxic))
-    held = stems.where((F.col("toxic") >= least) & (F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1)) >= odds - 0.01)).collect()
-    chosen = choose_stems({r["stem"]: r["toxic"] for r in held}, {r["stem"]: r["clean"] for r in held}, n_toxic, n_clean, least, odds)
+    held = counted.where((F.col("toxic") >= least) & (F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1)) >= odds - 0.01)).collect()
+    signs = choose_signs([(r["stem"], r["times"], r["toxic"], r["clean"]) for r in held], n_toxic, n_clean, least, odds)
 
-    lexicon = Lexicon(chosen, (0.0, 0.0, 0.0))
-    rows = texts.mapInArrow(_hits(model, lexicon), "id long, label int, kinds int, total int").select("label", "kinds", "total").toPandas()
-    x = np.column_stack([rows["kinds"], np.log1p(rows["total"])]).astype(float)
-    return model, Lexicon(chosen, fit_logistic(x, (rows["label"] > 0).to_numpy(float)))
+    rows = texts.mapInArrow(_features(model, Lexicon(signs, ())), "label int, most double, total double, times double").toPandas()
+    return model, Lexicon(signs, fit_logistic(rows[["most", "total", "times"]].to_numpy(float), (rows["label"] > 0).to_numpy(float)))
 
 
-def _hits(model: CharModel, lexicon: Lexicon):
+def _features(model: CharModel, lexicon: Lexicon):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer, known = Restorer(model), {}
-        for ids, labels, texts in common.columns_of(batches, "id", "label", "text"):
-            found = [lexicon.hits(restorer, t or "", known) for t in texts]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(labels, pa.int32()), pa.array([k for k, _ in found], pa.int32()), pa.array([n for _, n in found], pa.int32())], names=["id", "label", "kinds", "total"])
+        for labels, texts in common.columns_of(batches, "label", "text"):
+            found = [lexicon.features(restorer, t or "", known) for t in texts]
+            yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), *(pa.array([f[i] for f in found], pa.float64()) for i in range(3))], names=["label", "most", "total", "times"])
 
     return run
 
@@ -331,7 +346,7 @@ def add_scores(docs: DataFrame, model: CharModel, lexicon: Lexicon, text_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer, known = Restorer(model), {}
         for batch in batches:
-            scores = [lexicon.score(*lexicon.hits(restorer, t or "", known)) for t in batch.column(at).to_pylist()]
+            scores = [lexicon.score(lexicon.features(restorer, t or "", known)) for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, score_col])
 
     return docs.mapInArrow(run, schema)
