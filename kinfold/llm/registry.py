@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from . import dedup, jaccard, packing, toxicity
+from . import dedup, hamming, jaccard, packing, toxicity, urlfilter, warc
 
 QUERIES = {
+    "op1_warc": warc.op1_warc,
     "op2_packing": packing.op2_packing,
+    "op3_url_reputation": urlfilter.op3_url_reputation,
     "op4_toxicity": toxicity.op4_toxicity,
+    "op5_topk_hamming": hamming.op5_topk_hamming,
     "op6_ngram_jaccard": jaccard.op6_ngram_jaccard,
     "op10_exact_dedup": dedup.op10_exact_dedup,
 }
 
 ORACLE_SQL = {
+    "op1_warc": warc.OP1_SQL,
+    "op3_url_reputation": urlfilter.OP3_SQL,
+    "op5_topk_hamming": hamming.OP5_SQL,
     "op6_ngram_jaccard": jaccard.OP6_SQL,
     "op10_exact_dedup": dedup.OP10_SQL,
 }
