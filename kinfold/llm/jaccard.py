@@ -10,11 +10,15 @@ also sign in the next one.
 1. Each Arrow batch signs its distinct sets. Within a batch, a signature goes to the shuffle
    once, whoever shares it; the others are passed beside it to arbitrary tasks, so a signature
    shared by a third of all rows arrives as one entry per batch.
-2. What several documents share becomes a table (sig, doc). In each signature the document with most
-   shared signatures is the hub; every other is compared with the hub (a star, never all pairs).
-3. Pairs are verified on their complete shingles. Links make components.
-4. In the signatures that still join different components, the pairs between those components are
-   verified too. Only pairs inside one component are left out, so no component is missed.
+2. What several documents share becomes a table (sig, doc, next): in each signature the documents form
+   a chain in an order of its own, and neighbours are compared (as many pairs as entries).
+   Similar documents share many signatures and so meet many partners.
+3. A pair is first held against what 256-bit parity sketches prove about its difference
+   (popcount of their xor is at most the difference); the others are verified on complete shingles.
+   Links make components.
+4. In the signatures that still join different components, all pairs between those components are
+   held against the sketches and verified alike. Only pairs inside one component are left
+   out, so no component is missed.
 """
 
 from __future__ import annotations
@@ -25,17 +29,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-_SET = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_hash", pa.binary())])
-_SIGNED = pa.schema([("bucket", pa.int64()), ("direct", pa.bool_()), ("sigs", pa.binary()), ("docs", pa.binary()), ("shared", pa.binary())])
-_SHARED = pa.schema([("sig", pa.int64()), ("doc", pa.int64())])
+_SET = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_hash", pa.binary()), *((f"s{i}", pa.int64()) for i in range(4))])
+_SET_DDL = "doc_id long, n_shingles long, set_hash binary, s0 long, s1 long, s2 long, s3 long"
+_SIGNED = pa.schema([("bucket", pa.int64()), ("direct", pa.bool_()), ("sigs", pa.binary()), ("docs", pa.binary()), ("more", pa.binary())])
+_SHARED = pa.schema([("sig", pa.int64()), ("doc", pa.int64()), ("next", pa.int64())])
 _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 _U = np.uint64
+#: Sets that are signed at once: bounds a worker's memory.
+SIGNED_SETS = 2048
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -91,7 +98,7 @@ class Shingler:
 class PartEnum:
     """Signatures for Jaccard similarity p/q; ``k2``, ``n2`` as in the module's text; ``ratio`` of a band's ends."""
 
-    def __init__(self, p: int, q: int, k2: int = 1, n2: int = 3, ratio: float = 1.6) -> None:
+    def __init__(self, p: int, q: int, k2: int = 1, n2: int = 3, ratio: float = 1.25) -> None:
         if not (0 < p <= q and 0 <= k2 < n2 and ratio > 1):
             raise ValueError("0 < p <= q, 0 <= k2 < n2 and ratio > 1 are needed")
         self.p, self.q, self.k2, self.n2 = p, q, k2, n2
@@ -145,16 +152,30 @@ class PartEnum:
         return np.concatenate(sigs), np.tile(owner, len(sigs))
 
 
+def sketch(elements: np.ndarray) -> np.ndarray:
+    """256 parities of the elements in as many hash classes, as four 64-bit integers."""
+    classes = (elements * _U(0x9E3779B97F4A7C15) >> _U(56)).astype(np.int64)
+    return np.packbits(np.bincount(classes, minlength=256).astype(np.uint8) & 1).view(np.int64)
+
+
 def _set_rows(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
         for ids, texts in common.columns_of(batches, "id", "text"):
             sets = [shingler(t) for t in texts]
-            yield common.batch_of(_SET, ids, [len(s) for s in sets], [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets])
+            sketches = np.array([sketch(s) for s in sets], np.int64).reshape(-1, 4)
+            yield common.batch_of(_SET, ids, [len(s) for s in sets], [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], *(pa.array(sketches[:, i]) for i in range(4)))
 
     return run
 
 
+def _chained(sig: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Entries by signature, in an order of each signature's own; where a signature begins."""
+    order = np.lexsort((mix(doc.view(_U) ^ sig), sig))
+    sig, doc = sig[order], doc[order]
+    return sig, doc, np.r_[True, sig[1:] != sig[:-1]]
+
+
 def _signed(width: int, plan: PartEnum, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
@@ -168,58 +189,58 @@ def _signed(width: int, plan: PartEnum, buckets: int):
                     seen.add(key)
                     sets.append(s)
                     owners.append(doc_id)
-            if not sets:
-                continue
-            sig, at = plan.sign(sets)
-            doc = np.array(owners, np.int64)[at]
-            order = np.lexsort((doc, sig))
-            sig, doc = sig[order], doc[order]
-            lead = np.r_[True, sig[1:] != sig[:-1]]
-            many = np.r_[~lead[1:], False]  # the next entry has the same signature
-            yield from _rows(sig[~lead], doc[~lead], None, buckets)
-            yield from _rows(sig[lead], doc[lead], many[lead], buckets)
+            for at in range(0, len(sets), SIGNED_SETS):
+                sig, of = plan.sign(sets[at : at + SIGNED_SETS])
+                sig, doc, lead = _chained(sig, np.array(owners[at : at + SIGNED_SETS], np.int64)[of])
+                many = np.r_[~lead[1:], False]  # the next entry has the same signature
+                rest = np.flatnonzero(~lead)
+                yield from _direct_rows(sig[rest], doc[rest], doc[rest - 1], buckets)
+                yield from _bucket_rows(sig[lead], doc[lead], many[lead], buckets)
 
     return run
 
 
-def _rows(sig: np.ndarray, doc: np.ndarray, shared: np.ndarray | None, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Entries by bucket; those of a batch's own groups (shared None) in stretches to any bucket."""
-    if not len(sig):
-        return
-    if shared is None:
-        cuts = range(0, len(sig), 1 << 14)
-        rows = [(int(sig[c] >> _U(7)) % buckets, True, sig[c : c + (1 << 14)].tobytes(), doc[c : c + (1 << 14)].tobytes(), b"") for c in cuts]
-    else:
-        bucket = (sig % _U(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        bucket, sig, doc, shared = bucket[order], sig[order], doc[order], shared[order]
-        cuts = np.r_[np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]), len(bucket)]
-        rows = [(int(bucket[c]), False, sig[c:d].tobytes(), doc[c:d].tobytes(), np.packbits(shared[c:d]).tobytes()) for c, d in itertools.pairwise(cuts)]
-    yield common.batch_of(_SIGNED, *zip(*rows, strict=True))
+def _direct_rows(sig: np.ndarray, doc: np.ndarray, nxt: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Entries of a batch's own groups, in stretches to any bucket."""
+    cuts = range(0, len(sig), 1 << 14)
+    rows = [(int(sig[c] >> _U(7)) % buckets, True, *(x[c : c + (1 << 14)].tobytes() for x in (sig, doc, nxt))) for c in cuts]
+    if rows:
+        yield common.batch_of(_SIGNED, *zip(*rows, strict=True))
+
+
+def _bucket_rows(sig: np.ndarray, doc: np.ndarray, shared: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """One entry of each signature, by bucket."""
+    bucket = (sig % _U(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    bucket, sig, doc, shared = bucket[order], sig[order], doc[order], shared[order]
+    cuts = np.r_[np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]), len(bucket)] if len(bucket) else []
+    rows = [(int(bucket[c]), False, sig[c:d].tobytes(), doc[c:d].tobytes(), np.packbits(shared[c:d]).tobytes()) for c, d in itertools.pairwise(cuts)]
+    if rows:
+        yield common.batch_of(_SIGNED, *zip(*rows, strict=True))
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    """One bucket's entries to (sig, doc) of the signatures that several documents share."""
-    out_sig, out_doc, sigs, docs, shared = [], [], [], [], []
-    for direct, s, d, m in zip(*(table.column(n).to_pylist() for n in ("direct", "sigs", "docs", "shared")), strict=True):
+    """One bucket's entries to (sig, doc, next) of the signatures that several documents share."""
+    out: list[tuple] = []
+    sigs, docs, shared = [], [], []
+    for direct, s, d, m in zip(*(table.column(n).to_pylist() for n in ("direct", "sigs", "docs", "more")), strict=True):
         s, d = np.frombuffer(s, _U), np.frombuffer(d, np.int64)
         if direct:
-            out_sig.append(s)
-            out_doc.append(d)
+            out.append((s, d, np.frombuffer(m, np.int64), np.zeros(len(s), bool)))
         else:
             sigs.append(s)
             docs.append(d)
             shared.append(np.unpackbits(np.frombuffer(m, np.uint8), count=len(s)).astype(bool))
     if sigs:
         sig, doc, many = np.concatenate(sigs), np.concatenate(docs), np.concatenate(shared)
-        order = np.argsort(sig, kind="stable")
+        order = np.lexsort((mix(doc.view(_U) ^ sig), sig))
         sig, doc, many = sig[order], doc[order], many[order]
         same = sig[1:] == sig[:-1]
-        keep = many | np.r_[same, False] | np.r_[False, same]
-        out_sig.append(sig[keep])
-        out_doc.append(doc[keep])
-    sig, doc = np.concatenate(out_sig), np.concatenate(out_doc)
-    return pa.table([pa.array(sig.view(np.int64)), pa.array(doc)], schema=_SHARED)
+        follows = np.r_[False, same]
+        keep = many | np.r_[same, False] | follows
+        out.append((sig[keep], doc[keep], np.r_[doc[:1], doc[:-1]][keep], ~follows[keep]))
+    sig, doc, nxt, none = (np.concatenate(x) for x in zip(*out, strict=True))
+    return pa.table([pa.array(sig.view(np.int64)), pa.array(doc), pa.array(nxt, mask=none)], schema=_SHARED)
 
 
 def _verify(width: int, p: int, q: int):
@@ -251,46 +272,53 @@ def similarity_components(docs: DataFrame, width: int = 5, p: int = 80, q: int =
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     buckets = max(8, -(-common.text_bytes(docs, text_col) // bucket_bytes))
 
-    sets = common.saved(texts.mapInArrow(_set_rows(width), "doc_id long, n_shingles long, set_hash binary"), "sets")
+    sets = common.saved(texts.mapInArrow(_set_rows(width), _SET_DDL), "sets")
     lowest = sets.where("set_hash IS NOT NULL").groupBy("set_hash").agg(F.min("doc_id").alias("rep"))
-    members = common.saved(sets.join(lowest, "set_hash", "left").select("doc_id", "n_shingles", "rep"), "members")
+    members = sets.where("set_hash IS NOT NULL").join(lowest, "set_hash").select("doc_id", "n_shingles", "rep")
+    named = sets.where("doc_id IS NOT NULL AND set_hash IS NOT NULL").join(lowest, "set_hash")
+    # One row per id: the least of its classes, and what its sketch proves (nothing where an id has several sets).
+    nodes = common.saved(named.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("top"), F.min("n_shingles").alias("n"), (F.min("set_hash") == F.max("set_hash")).alias("single"), *(F.min(f"s{i}").alias(f"s{i}") for i in range(4))), "nodes")
+    again = members.join(nodes.where("rep <> top").select("doc_id", F.col("rep").alias("low")), "doc_id").where("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b"))
 
-    signed = texts.mapInArrow(_signed(width, plan, buckets), "bucket long, direct boolean, sigs binary, docs binary, shared binary")
-    shared = common.saved(signed.groupBy("bucket").applyInArrow(_meet, "sig long, doc long"), "shared")
+    signed = texts.mapInArrow(_signed(width, plan, buckets), "bucket long, direct boolean, sigs binary, docs binary, more binary")
+    shared = common.saved(signed.groupBy("bucket").applyInArrow(_meet, "sig long, doc long, next long"), "shared")
 
-    weight = shared.groupBy("doc").agg(F.count("*").alias("w"))
-    hub = shared.join(weight, "doc").groupBy("sig").agg(F.max(F.struct("w", (-F.col("doc")).alias("d"))).alias("top")).select("sig", (-F.col("top.d")).alias("hub"))
-    stars = shared.join(hub, "sig").where("doc <> hub").select(F.least("doc", "hub").alias("x"), F.greatest("doc", "hub").alias("y"), F.col("doc").alias("a"), F.col("hub").alias("b"))
-    stars = common.saved(stars.groupBy("x", "y").agg(F.min(F.struct("a", "b")).alias("s")).select("s.a", "s.b"), "stars")
+    def side(name: str) -> DataFrame:
+        return nodes.select(F.col("doc_id").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in ("n", "single", "s0", "s1", "s2", "s3")))
 
-    reps = members.where("doc_id IS NOT NULL AND rep IS NOT NULL").groupBy("doc_id").agg(F.min("rep").alias("rep"))
+    def possible(a: str, b: str) -> Column:
+        """False where sizes or sketches prove that a pair isn't similar."""
+        differ = sum((F.bit_count(F.col(f"{a}_s{i}").bitwiseXOR(F.col(f"{b}_s{i}"))) for i in range(4)), F.lit(0))
+        na, nb = F.col(f"{a}_n"), F.col(f"{b}_n")
+        return ~(F.col(f"{a}_single") & F.col(f"{b}_single")) | ((q * F.least(na, nb) >= p * F.greatest(na, nb)) & ((p + q) * differ <= (q - p) * (na + nb)))
 
     def verified(pairs: DataFrame) -> DataFrame:
+        """Links (between least ids of equal sets) of pairs (a, b)."""
         rows = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
-        return rows.select("a", "b", "ta", "tb").mapInArrow(_verify(width, p, q), "a long, b long")
-
-    def as_reps(links: DataFrame) -> DataFrame:
-        return links.join(reps.select(F.col("doc_id").alias("a"), F.col("rep").alias("ra")), "a").join(reps.select(F.col("doc_id").alias("b"), F.col("rep").alias("rb")), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+        links = rows.select("a", "b", "ta", "tb").mapInArrow(_verify(width, p, q), "a long, b long")
+        return links.join(nodes.select(F.col("doc_id").alias("a"), F.col("rep").alias("ra")), "a").join(nodes.select(F.col("doc_id").alias("b"), F.col("rep").alias("rb")), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
 
-    again = members.where("doc_id IS NOT NULL AND rep IS NOT NULL").join(reps.withColumnRenamed("rep", "low"), "doc_id").where("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b"))
-    links = common.saved(as_reps(verified(stars)).union(again), "verified")
+    chain = shared.where("next IS NOT NULL AND doc <> next").select(F.least("doc", "next").alias("a"), F.greatest("doc", "next").alias("b")).distinct()
+    first = common.saved(chain.join(side("a"), "a").join(side("b"), "b").where(possible("a", "b")).select("a", "b"), "chained")
+    links = common.saved(verified(first).union(again).distinct(), "links")
     groups = common.saved(common.components(links), "groups")
 
     # Pairs that share a signature but neither a component nor, yet, a comparison.
-    placed = shared.join(reps, shared["doc"] == reps["doc_id"]).join(groups.withColumnRenamed("node", "rep"), "rep", "left").select("sig", "doc", F.coalesce("component", "rep").alias("comp"))
-    open_sigs = placed.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("sig")
-    left = common.saved(placed.join(open_sigs, "sig").select("sig", "doc", "comp"), "open")
-    other = left.select("sig", F.col("doc").alias("b"), F.col("comp").alias("comp_b"))
-    pairs = left.join(other, "sig").where("comp < comp_b").select(F.least("doc", "b").alias("a"), F.greatest("doc", "b").alias("b")).distinct()
-    done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = common.saved(pairs.join(done, ["a", "b"], "left_anti"), "rest")
+    placed = nodes.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(F.col("doc_id").alias("doc"), F.coalesce("component", "rep").alias("comp"), "n", "single", "s0", "s1", "s2", "s3")
+    entries = shared.select("sig", "doc").join(placed.select("doc", "comp"), "doc")
+    open_sigs = entries.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("sig")
+    left = common.saved(entries.join(open_sigs, "sig").join(placed.drop("comp"), "doc"), "open")
+    a_side = left.select("sig", F.col("doc").alias("a"), F.col("comp").alias("comp_a"), *(F.col(c).alias(f"a_{c}") for c in ("n", "single", "s0", "s1", "s2", "s3")))
+    b_side = left.select(F.col("sig").alias("sig_b"), F.col("doc").alias("b"), F.col("comp").alias("comp_b"), *(F.col(c).alias(f"b_{c}") for c in ("n", "single", "s0", "s1", "s2", "s3")))
+    pairs = a_side.join(b_side, (F.col("sig") == F.col("sig_b")) & (F.col("comp_a") < F.col("comp_b")) & possible("a", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = common.saved(pairs.join(first, ["a", "b"], "left_anti"), "rest")
     if not pairs.isEmpty():
-        more = common.saved(as_reps(verified(pairs)), "verified")
+        more = common.saved(verified(pairs).distinct(), "links")
         if not more.isEmpty():
             groups = common.saved(common.components(links.union(more)), "groups")
 
-    final = reps.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component_id"))
-    return members.select("doc_id", "n_shingles").join(final, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    final = nodes.select("doc_id", "rep").join(groups.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component_id"))
+    return sets.select("doc_id", "n_shingles").join(final, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def one_per_component(docs: DataFrame, width: int = 5, p: int = 80, q: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
