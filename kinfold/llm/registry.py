@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import dedup, hamming, jaccard, packing, toxicity, urlfilter, warc
+from . import bpe, dedup, hamming, jaccard, packing, toxicity, urlfilter, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_topk_hamming": hamming.op5_topk_hamming,
     "op6_ngram_jaccard": jaccard.op6_ngram_jaccard,
+    "op7_byte_bpe": bpe.op7_byte_bpe,
     "op10_exact_dedup": dedup.op10_exact_dedup,
 }
 
