@@ -57,6 +57,18 @@ def columns_of(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[tuple
         yield tuple(batch.column(name).to_pylist() for name in names)
 
 
+def larger(batches: Iterable[pa.RecordBatch], rows: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together until they have ``rows`` rows or ``size`` bytes."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= rows or sum(b.nbytes for b in held) >= size:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, dedup, hamming, jaccard, packing, toxicity, urlfilter, warc
+from . import bpe, chat, dedup, hamming, htmltext, jaccard, packing, toxicity, urlfilter, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -12,6 +12,8 @@ QUERIES = {
     "op5_topk_hamming": hamming.op5_topk_hamming,
     "op6_ngram_jaccard": jaccard.op6_ngram_jaccard,
     "op7_byte_bpe": bpe.op7_byte_bpe,
+    "op8_chat_format": chat.op8_chat_format,
+    "op9_html_text": htmltext.op9_html_text,
     "op10_exact_dedup": dedup.op10_exact_dedup,
 }
 
@@ -20,5 +22,6 @@ ORACLE_SQL = {
     "op3_url_reputation": urlfilter.OP3_SQL,
     "op5_topk_hamming": hamming.OP5_SQL,
     "op6_ngram_jaccard": jaccard.OP6_SQL,
+    "op8_chat_format": chat.OP8_SQL,
     "op10_exact_dedup": dedup.OP10_SQL,
 }
