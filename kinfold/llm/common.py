@@ -18,9 +18,13 @@ BLANKS = r"[\x20\x09-\x0D]"
 
 
 def tune(spark: SparkSession) -> None:
-    """Bound the Arrow batches of this session."""
+    """Bound the Arrow batches of this session; let small join sides prune large ones."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    # Bloom filters (of at most 8 MB) before shuffled joins with small selective sides, whatever the other side's size.
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold", "64MB")
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -200,47 +200,76 @@ def _signed(width: int, plan: PartEnum, buckets: int):
     return run
 
 
+def _planes(x: np.ndarray, width: int = 8) -> bytes:
+    """The low ``width`` bytes of 64-bit integers, all first bytes first: planes of zeros take no room once compressed."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def _whole(planes: bytes, dtype: type, width: int = 8) -> np.ndarray:
+    out = np.zeros((len(planes) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, -1).T
+    return out.view(dtype).reshape(-1)
+
+
+_LOW48 = _U((1 << 48) - 1)
+
+
+def _bucket_of(sig: np.ndarray, buckets: int) -> np.ndarray:
+    return (sig >> _U(32)) % _U(buckets)
+
+
+def _named(sig: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    """A signature's name after the shuffle: of its bucket and its low 48 bits."""
+    return mix((sig & _LOW48) ^ mix(bucket.astype(_U) + _U(1)))
+
+
 def _direct_rows(sig: np.ndarray, doc: np.ndarray, nxt: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
     """Entries of a batch's own groups, in stretches to any bucket."""
     cuts = range(0, len(sig), 1 << 14)
-    rows = [(int(sig[c] >> _U(7)) % buckets, True, *(x[c : c + (1 << 14)].tobytes() for x in (sig, doc, nxt))) for c in cuts]
+    rows = [(int(sig[c] >> _U(7)) % buckets, True, *(_planes(x[c : c + (1 << 14)]) for x in (sig, doc, nxt))) for c in cuts]
     if rows:
         yield common.batch_of(_SIGNED, *zip(*rows, strict=True))
 
 
 def _bucket_rows(sig: np.ndarray, doc: np.ndarray, shared: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
-    """One entry of each signature, by bucket."""
-    bucket = (sig % _U(buckets)).astype(np.int64)
+    """One entry of each signature, by bucket; of a signature the bucket and the low 48 bits are told apart."""
+    bucket = _bucket_of(sig, buckets).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     bucket, sig, doc, shared = bucket[order], sig[order], doc[order], shared[order]
     cuts = np.r_[np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]), len(bucket)] if len(bucket) else []
-    rows = [(int(bucket[c]), False, sig[c:d].tobytes(), doc[c:d].tobytes(), np.packbits(shared[c:d]).tobytes()) for c, d in itertools.pairwise(cuts)]
+    rows = [(int(bucket[c]), False, _planes(sig[c:d], 6), _planes(doc[c:d]), np.packbits(shared[c:d]).tobytes()) for c, d in itertools.pairwise(cuts)]
     if rows:
         yield common.batch_of(_SIGNED, *zip(*rows, strict=True))
 
 
-def _meet(table: pa.Table) -> pa.Table:
-    """One bucket's entries to (sig, doc, next) of the signatures that several documents share."""
-    out: list[tuple] = []
-    sigs, docs, shared = [], [], []
-    for direct, s, d, m in zip(*(table.column(n).to_pylist() for n in ("direct", "sigs", "docs", "more")), strict=True):
-        s, d = np.frombuffer(s, _U), np.frombuffer(d, np.int64)
-        if direct:
-            out.append((s, d, np.frombuffer(m, np.int64), np.zeros(len(s), bool)))
-        else:
-            sigs.append(s)
-            docs.append(d)
-            shared.append(np.unpackbits(np.frombuffer(m, np.uint8), count=len(s)).astype(bool))
-    if sigs:
-        sig, doc, many = np.concatenate(sigs), np.concatenate(docs), np.concatenate(shared)
-        order = np.lexsort((mix(doc.view(_U) ^ sig), sig))
-        sig, doc, many = sig[order], doc[order], many[order]
-        same = sig[1:] == sig[:-1]
-        follows = np.r_[False, same]
-        keep = many | np.r_[same, False] | follows
-        out.append((sig[keep], doc[keep], np.r_[doc[:1], doc[:-1]][keep], ~follows[keep]))
-    sig, doc, nxt, none = (np.concatenate(x) for x in zip(*out, strict=True))
-    return pa.table([pa.array(sig.view(np.int64)), pa.array(doc), pa.array(nxt, mask=none)], schema=_SHARED)
+def _meet(buckets: int):
+    def run(table: pa.Table) -> pa.Table:
+        """One bucket's entries to (sig, doc, next) of the signatures that several documents share."""
+        bucket = np.array([table.column("bucket")[0].as_py()], np.int64)
+        out: list[tuple] = []
+        sigs, docs, shared = [], [], []
+        for direct, s, d, m in zip(*(table.column(n).to_pylist() for n in ("direct", "sigs", "docs", "more")), strict=True):
+            d = _whole(d, np.int64)
+            if direct:
+                s = _whole(s, _U)
+                out.append((_named(s, _bucket_of(s, buckets)), d, _whole(m, np.int64), np.zeros(len(s), bool)))
+            else:
+                s = _named(_whole(s, _U, 6), bucket)
+                sigs.append(s)
+                docs.append(d)
+                shared.append(np.unpackbits(np.frombuffer(m, np.uint8), count=len(s)).astype(bool))
+        if sigs:
+            sig, doc, many = np.concatenate(sigs), np.concatenate(docs), np.concatenate(shared)
+            order = np.lexsort((mix(doc.view(_U) ^ sig), sig))
+            sig, doc, many = sig[order], doc[order], many[order]
+            same = sig[1:] == sig[:-1]
+            follows = np.r_[False, same]
+            keep = many | np.r_[same, False] | follows
+            out.append((sig[keep], doc[keep], np.r_[doc[:1], doc[:-1]][keep], ~follows[keep]))
+        sig, doc, nxt, none = (np.concatenate(x) for x in zip(*out, strict=True))
+        return pa.table([pa.array(sig.view(np.int64)), pa.array(doc), pa.array(nxt, mask=none)], schema=_SHARED)
+
+    return run
 
 
 def _verify(width: int, p: int, q: int):
@@ -281,7 +310,7 @@ def similarity_components(docs: DataFrame, width: int = 5, p: int = 80, q: int =
     again = members.join(nodes.where("rep <> top").select("doc_id", F.col("rep").alias("low")), "doc_id").where("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b"))
 
     signed = texts.mapInArrow(_signed(width, plan, buckets), "bucket long, direct boolean, sigs binary, docs binary, more binary")
-    shared = common.saved(signed.groupBy("bucket").applyInArrow(_meet, "sig long, doc long, next long"), "shared")
+    shared = common.saved(signed.groupBy("bucket").applyInArrow(_meet(buckets), "sig long, doc long, next long"), "shared")
 
     def side(name: str) -> DataFrame:
         return nodes.select(F.col("doc_id").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in ("n", "single", "s0", "s1", "s2", "s3")))
@@ -294,6 +323,8 @@ def similarity_components(docs: DataFrame, width: int = 5, p: int = 80, q: int =
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Links (between least ids of equal sets) of pairs (a, b)."""
+        # The filter holds for all pairs; with it Spark may prune texts by a Bloom filter of the pairs before they are shuffled.
+        pairs = pairs.where("a <> b")
         rows = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
         links = rows.select("a", "b", "ta", "tb").mapInArrow(_verify(width, p, q), "a long, b long")
         return links.join(nodes.select(F.col("doc_id").alias("a"), F.col("rep").alias("ra")), "a").join(nodes.select(F.col("doc_id").alias("b"), F.col("rep").alias("rb")), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
