@@ -11,11 +11,14 @@ padding.
 
 from __future__ import annotations
 
+import itertools
+import os
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +27,8 @@ from . import common
 _IDS = pa.schema([("grp", pa.int64()), ("doc_id", pa.int64()), ("ids", pa.binary())])
 _PIECE = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 _PIECE_DDL = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+#: Marks that the tokenizer keeps apart from letters before them.
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Sequences that one group may number.
 _STRIDE = 1 << 32
 
@@ -111,37 +116,111 @@ def _powers_of_two(pieces: list[tuple[int, int, int]]) -> list[list[tuple[int, i
     return out
 
 
-def word_tokenizer(path: str, cache: int = 400_000) -> Callable[[list[str]], list[bytes]]:
+class WordTokenizer:
     """Little-endian 16-bit ids of whole texts.
 
-    The tokenizer drops white space and treats what stands between it alone, so each distinct
-    stretch is encoded once and kept, ``cache`` of them at most at a time.
+    The tokenizer drops white space and treats what stands between it alone, so texts are split
+    and their words numbered by Arrow, each distinct word is looked up once for a stretch of texts, and ids
+    are gathered by NumPy. ``cache`` distinct words at most are kept.
     """
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    if tokenizer.get_vocab_size() > 1 << 16:
-        raise ValueError("ids need more than 16 bits")
-    known: dict[str, bytes] = {}
-    odd = {"\x1c", "\x1d", "\x1e", "\x1f"}  # str.split() drops these, the tokenizer doesn't
+    #: Words encoded, and ids gathered, at once.
+    WORDS, IDS = 16_384, 1 << 20
+
+    def __init__(self, path: str, cache: int = 800_000) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        if max(vocabulary.values()) >= 1 << 16:
+            raise ValueError("ids need more than 16 bits")
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.known, self.cache = {"": b""}, cache
+
+    def __call__(self, texts: pa.Array) -> list[bytes]:
+        """``texts``: an Arrow array of strings without nulls."""
+        lists = pc.utf8_split_whitespace(self._lower(texts))
+        numbered = lists.flatten().dictionary_encode()
+        codes, words = numbered.indices.to_numpy(), self._look_up(numbered.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, words), np.int32, len(words)) // 2
+        ids, starts = np.frombuffer(b"".join(words), "<u2"), (np.cumsum(sizes) - sizes).astype(np.int32)
+        each = sizes[codes]
+        ends = np.r_[0, np.cumsum(each, dtype=np.int64)]
+        offsets = lists.offsets.to_numpy()
+        bounds = ends[offsets - offsets[0]]
+        found: list[bytes] = []
+        at = 0
+        while at < len(texts):
+            to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + self.IDS, "right")) - 1)
+            part = slice(offsets[at] - offsets[0], offsets[to] - offsets[0])
+            shift = (starts[codes[part]] - (ends[part] - bounds[at])).astype(np.int32)
+            out = ids[np.repeat(shift, each[part]) + np.arange(bounds[to] - bounds[at], dtype=np.int32)].tobytes()
+            cuts = (2 * (bounds[at : to + 1] - bounds[at])).tolist()
+            found += [out[a:b] for a, b in itertools.pairwise(cuts)]
+            at = to
+        # Arrow takes these for white space, the tokenizer doesn't.
+        for k in np.flatnonzero(pc.match_substring_regex(texts, "[\x1c-\x1f]").to_numpy(zero_copy_only=False)):
+            found[k] = self._ids(self.tokenizer.encode(texts[int(k)].as_py(), add_special_tokens=False))
+        return found
 
-    def pack_ids(words: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u2").tobytes() for e in tokenizer.encode_batch(words, add_special_tokens=False)]
+    @staticmethod
+    def _lower(texts: pa.Array) -> pa.Array:
+        """Lower case where every library agrees on it; the tokenizer lower-cases what is left."""
+        return pc.if_else(pc.match_substring_regex(texts, "[^\x00-\u012f]"), texts, pc.utf8_lower(texts))
 
-    def encode(texts: list[str]) -> list[bytes]:
-        out = []
-        if len(known) > cache:
-            known.clear()
-        split = [None if odd.intersection(t) else t.split() for t in texts]
-        new = list({w for words in split if words for w in words}.difference(known))
-        for at in range(0, len(new), 8192):
-            known.update(zip(new[at : at + 8192], pack_ids(new[at : at + 8192]), strict=True))
-        for text, words in zip(texts, split, strict=True):
-            out.append(pack_ids([text])[0] if words is None else b"".join(map(known.__getitem__, words)))
-        return out
+    @staticmethod
+    def _ids(encoding) -> bytes:
+        return np.asarray(encoding.ids, "<u2").tobytes()
 
-    return encode
+    def _look_up(self, words: list[str]) -> list[bytes]:
+        known = self.known
+        if len(known) > self.cache:
+            known.clear()
+            known[""] = b""
+        plain: dict[str, tuple[str, str]] = {}  # a new word's letters and the marks after them
+        other: set[str] = set()
+        for w in words:
+            if w not in known:
+                core = w.rstrip(_MARKS)
+                if core.isalpha():
+                    plain[w] = core, w[len(core) :]
+                else:
+                    other.add(w)
+        other.update(marks for _, marks in plain.values())
+        other.difference_update(known)
+        letters = list({core for core, _ in plain.values()}.difference(known))
+        for at in range(0, len(letters), self.WORDS):
+            self._learn_letters(letters[at : at + self.WORDS])
+        rest = list(other)
+        for at in range(0, len(rest), self.WORDS):
+            self._learn(rest[at : at + self.WORDS])
+        for w, (core, marks) in plain.items():
+            if marks:
+                known[w] = known[core] + known[marks]
+        return [known[w] for w in words]
+
+    def _learn_letters(self, words: list[str]) -> None:
+        """Words of letters alone: each ends where a token says that it ends a word."""
+        ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u2")
+        cuts = (2 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        if len(cuts) != len(words):
+            self._learn(words)
+            return
+        blob = ids.tobytes()
+        self.known.update(zip(words, (blob[a:b] for a, b in zip([0, *cuts], cuts, strict=False)), strict=True))
+
+    def _learn(self, words: list[str]) -> None:
+        """Any words, told apart by their offsets."""
+        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+        starts = np.fromiter((o[0] for o in found.offsets), np.int64, len(found.ids))
+        blob, at = self._ids(found), 0
+        for word, cut in zip(words, (2 * np.searchsorted(starts, ends)).tolist(), strict=True):
+            self.known[word] = blob[at:cut]
+            at = cut
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 4096, id_col: str = "doc_id", text_col: str = "text", group_bytes: int = 8 << 20, seed: int = 17) -> DataFrame:
@@ -158,9 +237,9 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int =
     end = np.asarray([end_id], "<u2").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run = word_tokenizer(tokenizer)
-        for grp, ids, texts in common.columns_of(batches, "grp", "id", "text"):
-            yield common.batch_of(_IDS, grp, ids, [x + end for x in run([t or "" for t in texts])])
+        run = WordTokenizer(tokenizer)
+        for batch in common.larger(batches, 2 * common.BATCH_ROWS, 2 * common.BATCH_BYTES):
+            yield common.batch_of(_IDS, batch.column("grp"), batch.column("id"), [x + end for x in run(pc.fill_null(batch.column("text"), ""))])
 
     def pack_group(table: pa.Table) -> pa.Table:
         grp, ids = table.column("grp")[0].as_py(), table.column("doc_id").to_pylist()
