@@ -178,8 +178,10 @@ def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).alias("doc_id"), F.unhex(F.sha2(_normalised(text_col), 256)).alias("digest"), F.char_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("len"))
     joined = rows.join(groups, "digest")
     best = common.same(F.col("doc_id").cast("long"), F.col("keep_id")) & (F.col("len") == F.col("keep_len"))
-    first = F.row_number().over(W.partitionBy("doc_id", "digest", "len").orderBy(F.lit(1))) == 1
-    return joined.select("doc_id", "keep_id", "group_size", (best & first).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+    rows = joined.select("doc_id", "keep_id", "group_size", best.alias("best"), "len", F.lower(F.hex("digest")).alias("text_sha256"))
+    # By other keys than the join's: its exchange stays free to split a hot digest.
+    first = F.row_number().over(W.partitionBy("doc_id", "text_sha256", "len").orderBy(F.lit(1))) == 1
+    return rows.select("doc_id", "keep_id", "group_size", (F.col("best") & first).alias("kept"), "text_sha256")
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
