@@ -12,9 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 
 def lcs_length(a: str, b: str) -> int:
@@ -118,15 +120,28 @@ def partial(a: str, b: str) -> float:
 
 
 def _stretches(a: str, b: str) -> float:
-    n, chars, best = len(a), set(a), 0.0
-    spans = [(max(0, end - n), end) for end in range(1, len(b) + 1)] + [(at, len(b)) for at in range(max(1, len(b) - n + 1), len(b))]
-    for at, end in spans:
-        # A best stretch ends, or at the far end begins, with a character of the shorter string.
-        if b[end - 1 if end < len(b) or at <= len(b) - n else at] in chars:
-            best = max(best, indel(a, b[at:end]))
-            if best == 1.0:
-                break
-    return best
+    """Best ``indel`` of ``a`` and a stretch of ``b`` of its length, or a shorter one at an end of ``b``.
+
+    All stretches' subsequence rows are worked out at once: step j looks at the j-th character of each.
+    """
+    if a in b:
+        return 1.0
+    n = len(a)
+    if n > 62:
+        return max(indel(a, b[max(0, at) : at + n]) for at in range(1 - n, len(b)))
+    places: dict[str, int] = {}
+    for i, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << i
+    full = np.int64((1 << n) - 1)
+    masks = np.zeros(len(b) + 2 * n, np.int64)
+    masks[n - 1 : n - 1 + len(b)] = [places.get(c, 0) for c in b]
+    row = np.full(len(b) + n - 1, full)
+    for j in range(n):
+        hit = row & masks[j : j + len(row)]
+        row = ((row + hit) | (row - hit)) & full
+    found = n - np.bitwise_count(row)
+    at = np.arange(1 - n, len(b))
+    return float((2 * found / (n + np.minimum(at + n, len(b)) - np.maximum(at, 0))).max())
 
 
 KERNELS: dict[str, Callable[[str, str], float]] = {
@@ -139,7 +154,7 @@ def similarities(a: Column, b: Column, *names: str) -> Column:
     """A struct of the named kernels; nulls count as empty strings."""
     kernels = [KERNELS[n] for n in names]
 
-    @F.pandas_udf(", ".join(f"{n} double" for n in names))
+    @F.pandas_udf(StructType([StructField(n, DoubleType()) for n in names]))
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for left, right in batches:
             known: dict[tuple[str, str], list[float]] = {}

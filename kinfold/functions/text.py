@@ -12,6 +12,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .words import ADDRESS_WORDS, COUNTRY_NAMES, LEGAL_WORDS, NAME_WORDS
 
@@ -24,7 +25,7 @@ def clean(text: str | None) -> str:
     return unicodedata.normalize("NFC", unicodedata.normalize("NFKD", text).translate(_MARKS))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unicode_clean(texts: pd.Series) -> pd.Series:
     return texts.map(clean)
 

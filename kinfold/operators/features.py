@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions import tfidf
-from ..functions.similarity import similarities
+from ..functions.similarity import levenshtein_similarity, similarities
 from . import blocking
 from .candidates import with_texts
 
@@ -101,14 +101,15 @@ def compute(pairs: DataFrame, records: DataFrame, candidates: DataFrame) -> Data
     text = {c: F.coalesce(F.col(c), F.lit("")) for c in ("a_normalized_name", "b_normalized_name", "a_normalized_address", "b_normalized_address")}
     p = p.withColumns(text)
     p = p.withColumns({
-        "__name": similarities(F.col("a_normalized_name"), F.col("b_normalized_name"), "lev", "ratio", "jaro", "jw", "tsort", "tset", "partial"),
+        "__name": similarities(F.col("a_normalized_name"), F.col("b_normalized_name"), "ratio", "jaro", "jw", "tsort", "tset", "partial"),
         "__core": similarities(F.col("a_name_core"), F.col("b_name_core"), "ratio", "jw", "tset", "partial", "prefix"),
-        "__addr": similarities(F.col("a_normalized_address"), F.col("b_normalized_address"), "lev", "jaro", "jw", "tsort", "tset", "partial"),
+        "__addr": similarities(F.col("a_normalized_address"), F.col("b_normalized_address"), "jaro", "jw", "tsort", "tset", "partial"),
         "__post": similarities(F.col("a_primary_postal"), F.col("b_primary_postal"), "lcp"),
         "__both": similarities(F.concat("a_normalized_name", F.lit(" | "), "a_normalized_address"), F.concat("b_normalized_name", F.lit(" | "), "b_normalized_address"), "tset"),
     })
-    sims = {f"{f}_{k}": F.col(f"__{f}.{k}") for f, ks in (("name", "lev ratio jaro jw tsort tset partial"), ("core", "ratio jw tset partial"), ("addr", "lev jaro jw tsort tset partial")) for k in ks.split()}
-    p = p.withColumns(sims | {"name_prefix": F.col("__core.prefix"), "postal_prefix": F.col("__post.lcp"), "na_combined": F.col("__both.tset")})
+    sims = {f"{f}_{k}": F.col(f"__{f}.{k}") for f, ks in (("name", "ratio jaro jw tsort tset partial"), ("core", "ratio jw tset partial"), ("addr", "jaro jw tsort tset partial")) for k in ks.split()}
+    edits = {f"{f}_lev": levenshtein_similarity(F.col(f"a_normalized_{c}"), F.col(f"b_normalized_{c}")) for f, c in (("name", "name"), ("addr", "address"))}
+    p = p.withColumns(sims | edits | {"name_prefix": F.col("__core.prefix"), "postal_prefix": F.col("__post.lcp"), "na_combined": F.col("__both.tset")})
     for name, a, low, high, least, words in (("name_char_cos", "normalized_name", 2, 4, 2, False), ("name_word_cos", "normalized_name", 0, 0, 1, True), ("addr_char_cos", "normalized_address", 3, 3, 2, False)):
         texts = records.select(F.col(a).alias("text")).union(candidates.select(F.col(a).alias("text")))
         grams = tfidf.word_grams(F.col("text")) if words else tfidf.char_grams(F.col("text"), low, high)
