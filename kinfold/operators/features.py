@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 
 from ..functions import tfidf
 from ..functions.similarity import levenshtein_similarity, similarities
+from ..sources.scratch import saved
 from . import blocking
 from .candidates import with_texts
 
@@ -96,10 +97,14 @@ def group_features(pairs: DataFrame) -> DataFrame:
 
 def compute(pairs: DataFrame, records: DataFrame, candidates: DataFrame) -> DataFrame:
     """``pairs`` (as ``candidates.generate`` makes them) with all features; ids and source first."""
-    p = with_texts(pairs, records, candidates, *TEXT_COLUMNS)
+    p = with_texts(saved(pairs, "pairs"), records, candidates, *TEXT_COLUMNS)
     p = p.withColumnsRenamed({"score": "blk_score", "quick": "blk_quick", "rank": "blk_rank", "n_strategies": "blk_n_strat"})
-    text = {c: F.coalesce(F.col(c), F.lit("")) for c in ("a_normalized_name", "b_normalized_name", "a_normalized_address", "b_normalized_address")}
-    p = p.withColumns(text)
+    p = p.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in ("a_normalized_name", "b_normalized_name", "a_normalized_address", "b_normalized_address")})
+    # Cosines join pairs with themselves by text, so they come before anything that is costly for a pair.
+    for name, a, low, high, least, words in (("name_char_cos", "normalized_name", 2, 4, 2, False), ("name_word_cos", "normalized_name", 0, 0, 1, True), ("addr_char_cos", "normalized_address", 3, 3, 2, False)):
+        texts = records.select(F.col(a).alias("text")).union(candidates.select(F.col(a).alias("text")))
+        grams = tfidf.word_grams(F.col("text")) if words else tfidf.char_grams(F.col("text"), low, high)
+        p = tfidf.pair_cosines(p, tfidf.vectors(texts, grams, least), f"a_{a}", f"b_{a}", name)
     p = p.withColumns({
         "__name": similarities(F.col("a_normalized_name"), F.col("b_normalized_name"), "ratio", "jaro", "jw", "tsort", "tset", "partial"),
         "__core": similarities(F.col("a_name_core"), F.col("b_name_core"), "ratio", "jw", "tset", "partial", "prefix"),
@@ -110,10 +115,6 @@ def compute(pairs: DataFrame, records: DataFrame, candidates: DataFrame) -> Data
     sims = {f"{f}_{k}": F.col(f"__{f}.{k}") for f, ks in (("name", "ratio jaro jw tsort tset partial"), ("core", "ratio jw tset partial"), ("addr", "jaro jw tsort tset partial")) for k in ks.split()}
     edits = {f"{f}_lev": levenshtein_similarity(F.col(f"a_normalized_{c}"), F.col(f"b_normalized_{c}")) for f, c in (("name", "name"), ("addr", "address"))}
     p = p.withColumns(sims | edits | {"name_prefix": F.col("__core.prefix"), "postal_prefix": F.col("__post.lcp"), "na_combined": F.col("__both.tset")})
-    for name, a, low, high, least, words in (("name_char_cos", "normalized_name", 2, 4, 2, False), ("name_word_cos", "normalized_name", 0, 0, 1, True), ("addr_char_cos", "normalized_address", 3, 3, 2, False)):
-        texts = records.select(F.col(a).alias("text")).union(candidates.select(F.col(a).alias("text")))
-        grams = tfidf.word_grams(F.col("text")) if words else tfidf.char_grams(F.col("text"), low, high)
-        p = tfidf.pair_cosines(p, tfidf.vectors(texts, grams, least), f"a_{a}", f"b_{a}", name)
     p = p.withColumns(
         set_features(F.col("a_name_tokens"), F.col("b_name_tokens"), "name_tok") | set_features(F.col("a_core_tokens"), F.col("b_core_tokens"), "core_tok")
         | set_features(F.col("a_address_tokens"), F.col("b_address_tokens"), "addr_tok") | number_features() | length_features() | exact_features()

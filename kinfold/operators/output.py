@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.text import normalized_entities
+from ..sources.scratch import saved
 from .decide import apply_rule
 
 
@@ -30,7 +31,7 @@ def link(entities: DataFrame, models: dict, weights: dict[str, float], rule: tup
     from . import candidates, features
     from . import models as m
 
-    ready = normalized_entities(entities)
+    ready = saved(normalized_entities(entities), "normalized")
     records, others = candidates.sides(ready)
     rows = features.compute(candidates.generate(ready, settings.blocking), records, others)
     scored = m.predict(rows, models, features.FEATURES, ["s1_id", "cand_id", "source"])

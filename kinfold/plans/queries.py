@@ -12,6 +12,7 @@ from ..config import STRATEGIES, STRATEGY, Blocking, Settings
 from ..functions import tfidf
 from ..functions.similarity import levenshtein_similarity, similarities
 from ..operators import blocking, candidates, decide, evaluate, features, models, output, profile, training, validate
+from ..sources.scratch import saved
 from ..streaming.windows import event_windows
 from . import views
 from .sql import ENABLED
@@ -154,12 +155,12 @@ def cand_reduction(spark, d):
 @query
 def cand_quick_capped(spark, d):
     """The whole candidate query: all strategies, both caps, quick scores."""
-    return candidates.generate(views.normalized(spark, d), Blocking())
+    return candidates.generate(saved(views.normalized(spark, d), "normalized"), Blocking())
 
 
 @query
 def fuzzy_tfidf_topk(spark, d):
-    records, others = candidates.sides(views.normalized(spark, d))
+    records, others = candidates.sides(saved(views.normalized(spark, d), "normalized"))
     return candidates.fuzzy_pairs(records, others, Blocking())
 
 
@@ -222,7 +223,7 @@ def feat_tfidf_cosine(spark, d):
 @query
 def features_all(spark, d):
     """All 81 features of the capped candidates."""
-    ready = views.normalized(spark, d)
+    ready = saved(views.normalized(spark, d), "normalized")
     records, others = candidates.sides(ready)
     return features.compute(candidates.generate(ready, Blocking()), records, others)
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..config import STRATEGY
 from ..functions.text import normalized_entities
 from ..operators import blocking, candidates
+from ..sources.scratch import saved
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,8 +50,9 @@ SCORED = ("exact_name", "exact_core", "name_signature")
 
 def strategy_pairs(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     """(s1_id, cand_id, score, bits, source) of the named strategies."""
-    records, others = candidates.sides(normalized(spark, sf_dir))
-    total = others.count()
+    ready = normalized(spark, sf_dir)
+    records, others = candidates.sides(saved(ready, "normalized") if len(names) > 1 else ready)
+    total = candidates.sides(entities(spark, sf_dir))[1].count()
     parts = [blocking.ask_index(records, others, STRATEGY[n], total) for n in names]
     pairs = parts[0]
     for p in parts[1:]:
