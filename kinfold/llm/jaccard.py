@@ -13,9 +13,9 @@ also sign in the next one.
 2. What several documents share becomes a table (sig, doc, next): in each signature the documents form
    a chain in an order of its own, and neighbours are compared (as many pairs as entries).
    Similar documents share many signatures and so meet many partners.
-3. A pair is first held against what 256-bit parity sketches prove about its difference
-   (popcount of their xor is at most the difference); the others are verified on complete shingles.
-   Links make components.
+3. A pair is first held against what parity sketches prove about its difference (popcount of
+   their xor is at most the difference; the more shingles a set has, the more bits); the others
+   are verified on complete shingles. Links make components.
 4. In the signatures that still join different components, all pairs between those components are
    held against the sketches and verified alike. Only pairs inside one component are left
    out, so no component is missed.
@@ -35,8 +35,9 @@ from pyspark.sql import functions as F
 from . import common
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-_SET = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_hash", pa.binary()), *((f"s{i}", pa.int64()) for i in range(4))])
-_SET_DDL = "doc_id long, n_shingles long, set_hash binary, s0 long, s1 long, s2 long, s3 long"
+_SET = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_hash", pa.binary()), *((f"s{i}", pa.int64()) for i in range(16)), ("big", pa.list_(pa.int64()))])
+_SKETCH = [*(f"s{i}" for i in range(16)), "big"]
+_SET_DDL = "doc_id long, n_shingles long, set_hash binary, " + ", ".join(f"s{i} long" for i in range(16)) + ", big array<long>"
 _SIGNED = pa.schema([("bucket", pa.int64()), ("direct", pa.bool_()), ("sigs", pa.binary()), ("docs", pa.binary()), ("more", pa.binary())])
 _SHARED = pa.schema([("sig", pa.int64()), ("doc", pa.int64()), ("next", pa.int64())])
 _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -152,10 +153,49 @@ class PartEnum:
         return np.concatenate(sigs), np.tile(owner, len(sigs))
 
 
-def sketch(elements: np.ndarray) -> np.ndarray:
-    """256 parities of the elements in as many hash classes, as four 64-bit integers."""
-    classes = (elements * _U(0x9E3779B97F4A7C15) >> _U(56)).astype(np.int64)
-    return np.packbits(np.bincount(classes, minlength=256).astype(np.uint8) & 1).view(np.int64)
+#: Bits of a sketch in columns, and the set size up to which they are used; larger sets have an array besides.
+_BITS = ((256, 450), (512, 950), (1024, 2000))
+
+
+def sketch(elements: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+    """Parities of the elements by hash class: sixteen 64-bit integers, and for large sets an array of more.
+
+    Class counts are powers of two and classes are remainders, so xor of its halves makes a sketch half as long.
+    """
+    classes = (elements * _U(0x9E3779B97F4A7C15) >> _U(32)).astype(np.int64)
+
+    def parities(bits: int) -> np.ndarray:
+        return np.packbits(np.bincount(classes & (bits - 1), minlength=bits).astype(np.uint8) & 1).view(np.int64)
+
+    n = len(elements)
+    out = np.zeros(16, np.int64)
+    columns = parities(next((bits for bits, most in _BITS if n <= most), _BITS[-1][0]))
+    out[: len(columns)] = columns
+    if n <= _BITS[-1][1]:
+        return out, None
+    bits = 4096
+    while bits < 0.6 * n:
+        bits *= 4
+    return out, parities(bits)
+
+
+def _class(n: Column) -> Column:
+    return F.when(n <= _BITS[0][1], 0).when(n <= _BITS[1][1], 1).otherwise(2)
+
+
+def _differ_at_least(a: str, b: str) -> Column:
+    """What the sketches prove of the size of a pair's difference."""
+
+    def ones(parts: list[Column]) -> Column:
+        return sum((F.bit_count(x) for x in parts), F.lit(0))
+
+    x = [F.col(f"{a}_s{i}").bitwiseXOR(F.col(f"{b}_s{i}")) for i in range(16)]
+    half = [x[i].bitwiseXOR(x[i + 8]) for i in range(8)]
+    quarter = [half[i].bitwiseXOR(half[i + 4]) for i in range(4)]
+    ca, cb = _class(F.col(f"{a}_n")), _class(F.col(f"{b}_n"))
+    big = F.size(f"{a}_big") == F.size(f"{b}_big")
+    more = F.aggregate(F.zip_with(f"{a}_big", f"{b}_big", lambda p, q: F.bit_count(p.bitwiseXOR(q)).cast("int")), F.lit(0), lambda s, v: s + v)
+    return F.when(F.col(f"{a}_big").isNotNull() & F.col(f"{b}_big").isNotNull() & big, more).when(ca == cb, ones(x)).when((ca > 0) & (cb > 0), ones(half)).otherwise(ones(quarter))
 
 
 def _set_rows(width: int):
@@ -163,8 +203,9 @@ def _set_rows(width: int):
         shingler = Shingler(width)
         for ids, texts in common.columns_of(batches, "id", "text"):
             sets = [shingler(t) for t in texts]
-            sketches = np.array([sketch(s) for s in sets], np.int64).reshape(-1, 4)
-            yield common.batch_of(_SET, ids, [len(s) for s in sets], [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], *(pa.array(sketches[:, i]) for i in range(4)))
+            sketches = [sketch(s) for s in sets]
+            columns = np.array([c for c, _ in sketches], np.int64).reshape(-1, 16)
+            yield common.batch_of(_SET, ids, [len(s) for s in sets], [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], *(pa.array(np.ascontiguousarray(columns[:, i])) for i in range(16)), [big for _, big in sketches])
 
     return run
 
@@ -302,24 +343,24 @@ def similarity_components(docs: DataFrame, width: int = 5, p: int = 80, q: int =
     buckets = max(8, -(-common.text_bytes(docs, text_col) // bucket_bytes))
 
     sets = common.saved(texts.mapInArrow(_set_rows(width), _SET_DDL), "sets")
-    lowest = sets.where("set_hash IS NOT NULL").groupBy("set_hash").agg(F.min("doc_id").alias("rep"))
+    # Saved, so that the join with it has exchanges of its own and a hot set can be split.
+    lowest = common.saved(sets.where("set_hash IS NOT NULL").groupBy("set_hash").agg(F.min("doc_id").alias("rep")), "lowest")
     members = sets.where("set_hash IS NOT NULL").join(lowest, "set_hash").select("doc_id", "n_shingles", "rep")
     named = sets.where("doc_id IS NOT NULL AND set_hash IS NOT NULL").join(lowest, "set_hash")
     # One row per id: the least of its classes, and what its sketch proves (nothing where an id has several sets).
-    nodes = common.saved(named.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("top"), F.min("n_shingles").alias("n"), (F.min("set_hash") == F.max("set_hash")).alias("single"), *(F.min(f"s{i}").alias(f"s{i}") for i in range(4))), "nodes")
+    nodes = common.saved(named.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("top"), F.min("n_shingles").alias("n"), (F.min("set_hash") == F.max("set_hash")).alias("single"), *(F.min(c).alias(c) for c in _SKETCH)), "nodes")
     again = members.join(nodes.where("rep <> top").select("doc_id", F.col("rep").alias("low")), "doc_id").where("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b"))
 
     signed = texts.mapInArrow(_signed(width, plan, buckets), "bucket long, direct boolean, sigs binary, docs binary, more binary")
     shared = common.saved(signed.groupBy("bucket").applyInArrow(_meet(buckets), "sig long, doc long, next long"), "shared")
 
     def side(name: str) -> DataFrame:
-        return nodes.select(F.col("doc_id").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in ("n", "single", "s0", "s1", "s2", "s3")))
+        return nodes.select(F.col("doc_id").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in ("n", "single", *_SKETCH)))
 
     def possible(a: str, b: str) -> Column:
         """False where sizes or sketches prove that a pair isn't similar."""
-        differ = sum((F.bit_count(F.col(f"{a}_s{i}").bitwiseXOR(F.col(f"{b}_s{i}"))) for i in range(4)), F.lit(0))
         na, nb = F.col(f"{a}_n"), F.col(f"{b}_n")
-        return ~(F.col(f"{a}_single") & F.col(f"{b}_single")) | ((q * F.least(na, nb) >= p * F.greatest(na, nb)) & ((p + q) * differ <= (q - p) * (na + nb)))
+        return ~(F.col(f"{a}_single") & F.col(f"{b}_single")) | ((q * F.least(na, nb) >= p * F.greatest(na, nb)) & ((p + q) * _differ_at_least(a, b) <= (q - p) * (na + nb)))
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Links (between least ids of equal sets) of pairs (a, b)."""
@@ -335,13 +376,17 @@ def similarity_components(docs: DataFrame, width: int = 5, p: int = 80, q: int =
     groups = common.saved(common.components(links), "groups")
 
     # Pairs that share a signature but neither a component nor, yet, a comparison.
-    placed = nodes.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(F.col("doc_id").alias("doc"), F.coalesce("component", "rep").alias("comp"), "n", "single", "s0", "s1", "s2", "s3")
-    entries = shared.select("sig", "doc").join(placed.select("doc", "comp"), "doc")
+    placed = nodes.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(F.col("doc_id").alias("doc"), F.coalesce("component", "rep").alias("comp"))
+    entries = shared.select("sig", "doc").join(placed, "doc")
     open_sigs = entries.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("sig")
-    left = common.saved(entries.join(open_sigs, "sig").join(placed.drop("comp"), "doc"), "open")
-    a_side = left.select("sig", F.col("doc").alias("a"), F.col("comp").alias("comp_a"), *(F.col(c).alias(f"a_{c}") for c in ("n", "single", "s0", "s1", "s2", "s3")))
-    b_side = left.select(F.col("sig").alias("sig_b"), F.col("doc").alias("b"), F.col("comp").alias("comp_b"), *(F.col(c).alias(f"b_{c}") for c in ("n", "single", "s0", "s1", "s2", "s3")))
-    pairs = a_side.join(b_side, (F.col("sig") == F.col("sig_b")) & (F.col("comp_a") < F.col("comp_b")) & possible("a", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    left = common.saved(entries.join(open_sigs, "sig").select("sig", "doc", "comp"), "open")
+
+    def open_side(name: str) -> DataFrame:
+        known = left.join(nodes.select(F.col("doc_id").alias("doc"), "n", "single", *_SKETCH), "doc")
+        return known.select(F.col("sig").alias(f"sig_{name}"), F.col("doc").alias(name), F.col("comp").alias(f"comp_{name}"), *(F.col(c).alias(f"{name}_{c}") for c in ("n", "single", *_SKETCH)))
+
+    met = open_side("a").join(open_side("b"), (F.col("sig_a") == F.col("sig_b")) & (F.col("comp_a") < F.col("comp_b")) & possible("a", "b"))
+    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = common.saved(pairs.join(first, ["a", "b"], "left_anti"), "rest")
     if not pairs.isEmpty():
         more = common.saved(verified(pairs).distinct(), "links")

@@ -264,7 +264,23 @@ def test_part_enum_signs_alike_what_is_similar():
             if 100 * both >= 80 * (len(a) + len(b) - both):
                 sig, of = plan.sign([a, b])
                 assert set(sig[of == 0].tolist()) & set(sig[of == 1].tolist())
-                assert np.bitwise_count(jaccard.sketch(a).view(np.uint64) ^ jaccard.sketch(b).view(np.uint64)).sum() <= len(a) + len(b) - 2 * both
+
+
+def test_sketches_prove_no_more_than_the_difference_and_enough_of_it(spark):
+    rng = np.random.default_rng(8)
+    pairs, differ = [], []
+    for size in (3, 100, 440, 455, 940, 960, 1900, 2100, 5000, 9000):
+        for share in (0.0, 0.5, 0.95, 1.0):
+            both = rng.integers(0, 2**63, int(size * share)).astype(np.uint64)
+            sides = [np.unique(np.concatenate([both, rng.integers(0, 2**63, n - len(both)).astype(np.uint64)])) for n in (size, max(len(both), int(size * 0.98)))]
+            pairs.append([x for s in sides for x in (len(s), *jaccard.sketch(s)[0].tolist(), None if jaccard.sketch(s)[1] is None else jaccard.sketch(s)[1].tolist())])
+            differ.append((len(np.setxor1d(*sides)), sum(map(len, sides)) / 9 if share == 0 and size >= 100 else -1))
+    names = [f"{side}_{c}" for side in "ab" for c in ("n", *jaccard._SKETCH)]
+    schema = ", ".join(f"{n} {'array<long>' if n.endswith('big') else 'long'}" for n in names) + ", i int"
+    df = spark.createDataFrame([(*p, i) for i, p in enumerate(pairs)], schema)
+    for r in df.select("i", jaccard._differ_at_least("a", "b").alias("d")).collect():
+        real, allowed = differ[r["i"]]
+        assert allowed < r["d"] <= real  # sets that share nothing are told from similar ones (0.8)
 
 
 def test_jaccard_null_and_repeated_ids_and_one_per_component(spark):
