@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows and bytes of one Arrow batch handed to a Python worker: bounds what a worker holds.
-BATCH_ROWS, BATCH_BYTES = 4096, 32 << 20
+#: Rows of one Arrow batch handed to a Python worker, and bytes of one that a worker puts out: bounds what it holds.
+BATCH_ROWS, BATCH_BYTES = 2048, 32 << 20
 
 #: The white space that the text contracts name.
 BLANKS = r"[\x20\x09-\x0D]"
@@ -20,13 +20,22 @@ BLANKS = r"[\x20\x09-\x0D]"
 def tune(spark: SparkSession) -> None:
     """Bound the Arrow batches of this session; let small join sides prune large ones."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     # Bloom filters (of at most 8 MB) before shuffled joins with small selective sides, whatever the other side's size.
     spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
     spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
     spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold", "64MB")
 
 
+def saved_in_small_batches(df: DataFrame, name: str, rows: int = 128) -> DataFrame:
+    """``saved`` with Arrow batches of few rows: for rows that hold whole texts twice."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    try:
+        return saved(df, name)
+    finally:
+        tune(spark)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, set here only where it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)

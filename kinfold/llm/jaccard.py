@@ -42,8 +42,8 @@ _SIGNED = pa.schema([("bucket", pa.int64()), ("direct", pa.bool_()), ("sigs", pa
 _SHARED = pa.schema([("sig", pa.int64()), ("doc", pa.int64()), ("next", pa.int64())])
 _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 _U = np.uint64
-#: Sets that are signed at once: bounds a worker's memory.
-SIGNED_SETS = 2048
+#: Elements of the sets that are signed at once: bounds a worker's memory.
+SIGNED_ELEMENTS = 400_000
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -70,7 +70,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Shingler:
     """Texts to sorted distinct 64-bit shingle hashes; hashes of words are kept, ``cache`` at most."""
 
-    def __init__(self, width: int, cache: int = 400_000) -> None:
+    def __init__(self, width: int, cache: int = 200_000) -> None:
         self.width, self.cache, self.known = width, cache, {}
 
     def __call__(self, text: str | None) -> np.ndarray:
@@ -230,9 +230,13 @@ def _signed(width: int, plan: PartEnum, buckets: int):
                     seen.add(key)
                     sets.append(s)
                     owners.append(doc_id)
-            for at in range(0, len(sets), SIGNED_SETS):
-                sig, of = plan.sign(sets[at : at + SIGNED_SETS])
-                sig, doc, lead = _chained(sig, np.array(owners[at : at + SIGNED_SETS], np.int64)[of])
+            ends = np.cumsum([len(x) for x in sets])
+            at = 0
+            while at < len(sets):
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SIGNED_ELEMENTS, "right")))
+                sig, of = plan.sign(sets[at:to])
+                sig, doc, lead = _chained(sig, np.array(owners[at:to], np.int64)[of])
+                at = to
                 many = np.r_[~lead[1:], False]  # the next entry has the same signature
                 rest = np.flatnonzero(~lead)
                 yield from _direct_rows(sig[rest], doc[rest], doc[rest - 1], buckets)
@@ -329,7 +333,7 @@ def _verify(width: int, p: int, q: int):
     return run
 
 
-def similarity_components(docs: DataFrame, width: int = 5, p: int = 80, q: int = 100, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 12 << 20) -> DataFrame:
+def similarity_components(docs: DataFrame, width: int = 5, p: int = 80, q: int = 100, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 6 << 20) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (least id reachable over pairs of similarity >= p/q).
 
     A document's set is its distinct ``width``-word shingles; with fewer words, the whole
@@ -372,7 +376,7 @@ def similarity_components(docs: DataFrame, width: int = 5, p: int = 80, q: int =
 
     chain = shared.where("next IS NOT NULL AND doc <> next").select(F.least("doc", "next").alias("a"), F.greatest("doc", "next").alias("b")).distinct()
     first = common.saved(chain.join(side("a"), "a").join(side("b"), "b").where(possible("a", "b")).select("a", "b"), "chained")
-    links = common.saved(verified(first).union(again).distinct(), "links")
+    links = common.saved_in_small_batches(verified(first).union(again).distinct(), "links")
     groups = common.saved(common.components(links), "groups")
 
     # Pairs that share a signature but neither a component nor, yet, a comparison.
@@ -389,7 +393,7 @@ def similarity_components(docs: DataFrame, width: int = 5, p: int = 80, q: int =
     pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = common.saved(pairs.join(first, ["a", "b"], "left_anti"), "rest")
     if not pairs.isEmpty():
-        more = common.saved(verified(pairs).distinct(), "links")
+        more = common.saved_in_small_batches(verified(pairs).distinct(), "links")
         if not more.isEmpty():
             groups = common.saved(common.components(links.union(more)), "groups")
 

@@ -238,7 +238,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int =
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = WordTokenizer(tokenizer)
-        for batch in common.larger(batches, 2 * common.BATCH_ROWS, 2 * common.BATCH_BYTES):
+        for batch in common.larger(batches, 8192, 2 * common.BATCH_BYTES):
             yield common.batch_of(_IDS, batch.column("grp"), batch.column("id"), [x + end for x in run(pc.fill_null(batch.column("text"), ""))])
 
     def pack_group(table: pa.Table) -> pa.Table:

@@ -133,7 +133,7 @@ def _runs(word: str) -> Iterator[tuple[str, int]]:
 class Restorer:
     """Restored words of a text; a token's reading is kept, ``cache`` of them at most."""
 
-    def __init__(self, model: CharModel, cache: int = 300_000) -> None:
+    def __init__(self, model: CharModel, cache: int = 200_000) -> None:
         self.model, self.cache, self.known = model, cache, {}
 
     def token(self, token: str) -> tuple[str, ...]:
