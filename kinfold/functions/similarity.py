@@ -10,6 +10,7 @@ side makes ``token_set`` 0.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -56,12 +57,17 @@ def jaro(a: str, b: str) -> float:
     reach = max(0, max(len(a), len(b)) // 2 - 1)
     taken = [False] * len(b)
     found = []
+    # Places of a character that aren't taken, in order; those a window has left behind drop out for good.
+    places: dict[str, deque[int]] = {}
+    for j, y in enumerate(b):
+        places.setdefault(y, deque()).append(j)
     for i, x in enumerate(a):
-        for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
-            if not taken[j] and b[j] == x:
-                taken[j] = True
-                found.append(x)
-                break
+        free = places.get(x)
+        while free and free[0] < i - reach:
+            free.popleft()
+        if free and free[0] <= i + reach:
+            taken[free.popleft()] = True
+            found.append(x)
     m = len(found)
     if not m:
         return 0.0
@@ -127,8 +133,10 @@ def _stretches(a: str, b: str) -> float:
     if a in b:
         return 1.0
     n = len(a)
+    at = np.arange(1 - n, len(b))
+    total = n + np.minimum(at + n, len(b)) - np.maximum(at, 0)
     if n > 62:
-        return max(indel(a, b[max(0, at) : at + n]) for at in range(1 - n, len(b)))
+        return float((2 * _window_lcs(a, b) / total).max())
     places: dict[str, int] = {}
     for i, c in enumerate(a):
         places[c] = places.get(c, 0) | 1 << i
@@ -140,8 +148,31 @@ def _stretches(a: str, b: str) -> float:
         hit = row & masks[j : j + len(row)]
         row = ((row + hit) | (row - hit)) & full
     found = n - np.bitwise_count(row)
-    at = np.arange(1 - n, len(b))
-    return float((2 * found / (n + np.minimum(at + n, len(b)) - np.maximum(at, 0))).max())
+    return float((2 * found / total).max())
+
+
+def _window_lcs(a: str, b: str) -> np.ndarray:
+    """``lcs_length`` of ``a`` and each stretch of ``_stretches``, by combing strands (semi-local alignment).
+
+    A strand enters at each character of ``a`` and ``b``; two swap where characters are equal or they have
+    crossed before. A stretch's subsequence lacks one for each strand that enters and leaves inside it.
+    Cells of an antidiagonal don't depend on each other.
+    """
+    n, m = len(a), len(b)
+    x, y = (np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in (a[::-1], b))
+    across, down = np.arange(n), np.arange(n, n + m)
+    for d in range(n + m - 1):
+        first, end = max(0, d - n + 1), min(m, d + 1)
+        own = slice(n - 1 - d + first, n - 1 - d + end)
+        h, v = across[own], down[first:end]
+        swap = (x[own] == y[first:end]) | (h > v)
+        across[own], down[first:end] = np.where(swap, v, h), np.where(swap, h, v)
+    leaves = np.flatnonzero(down >= n)
+    enters = down[leaves] - n
+    inside = enters > leaves - n
+    steps = np.bincount(leaves[inside], minlength=n + m)[: n + m] - np.bincount(enters[inside] + n, minlength=n + m)[: n + m]
+    at = np.arange(1 - n, m)
+    return np.minimum(at + n, m) - np.maximum(at, 0) - np.cumsum(steps)[: n + m - 1]
 
 
 KERNELS: dict[str, Callable[[str, str], float]] = {

@@ -155,12 +155,12 @@ def cand_reduction(spark, d):
 @query
 def cand_quick_capped(spark, d):
     """The whole candidate query: all strategies, both caps, quick scores."""
-    return candidates.generate(saved(views.normalized(spark, d), "normalized"), Blocking())
+    return candidates.generate(saved(views.normalized(spark, d, whole=True), "normalized"), Blocking())
 
 
 @query
 def fuzzy_tfidf_topk(spark, d):
-    records, others = candidates.sides(saved(views.normalized(spark, d), "normalized"))
+    records, others = candidates.sides(saved(views.normalized(spark, d, whole=True), "normalized"))
     return candidates.fuzzy_pairs(records, others, Blocking())
 
 
@@ -223,7 +223,7 @@ def feat_tfidf_cosine(spark, d):
 @query
 def features_all(spark, d):
     """All 81 features of the capped candidates."""
-    ready = saved(views.normalized(spark, d), "normalized")
+    ready = saved(views.normalized(spark, d, whole=True), "normalized")
     records, others = candidates.sides(ready)
     return features.compute(candidates.generate(ready, Blocking()), records, others)
 

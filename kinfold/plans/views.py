@@ -19,15 +19,19 @@ def entity_id(doc_id="doc_id"):
     return F.concat(F.lit("S"), (1 + F.col(doc_id) % 3).cast("string"), F.lit("-"), F.col(doc_id).cast("string"))
 
 
-def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A document is a record of source 1, 2 or 3 by its number; its first line is its name."""
+def entities(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    """A document is a record of source 1, 2 or 3 by its number; its first line is its name.
+
+    The SQL of the queries that have one cuts the name to 60 characters; ``whole`` is for those without.
+    """
     address = F.concat((F.col("doc_id") % 97).cast("string"), F.lit(" "), F.col("source"), F.lit(" rd "), (10_000 + F.col("doc_id") % 500).cast("string"))
-    name = F.substring(F.split_part("text", F.lit("\n"), F.lit(1)), 1, 60)
+    name = F.split_part("text", F.lit("\n"), F.lit(1))
+    name = name if whole else F.substring(name, 1, 60)
     return table(spark, sf_dir, "documents").select(entity_id().alias("entity_id"), name.alias("business_name"), address.alias("business_address"), F.col("lang").alias("country"))
 
 
-def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalized_entities(entities(spark, sf_dir))
+def normalized(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    return normalized_entities(entities(spark, sf_dir, whole))
 
 
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
