@@ -40,6 +40,8 @@ _PLAIN_EDGE = "".join(c for c in _EDGE if c not in LEET)
 _RUN3 = re.compile(r"(.)\1\1")
 _RUN2 = re.compile(r"(.)\1+")
 _SYMBOL = re.compile("[" + re.escape("".join(LEET)) + "]")
+#: Lengths of word beginnings, and how often a text must hold one at least.
+LENGTHS, TIMES = range(3, 10), (1, 2, 3, 4)
 _CLASSES = 64
 _BOUNDARY, _OTHER = 0, 63
 
@@ -136,71 +138,112 @@ class Restorer:
     def __init__(self, model: CharModel, cache: int = 200_000) -> None:
         self.model, self.cache, self.known = model, cache, {}
 
-    def token(self, token: str) -> tuple[str, ...]:
-        core = token.strip(_EDGE)
-        full = token.strip(_PLAIN_EDGE)
-        if len(full) - len(core) != 1:  # one symbol at an edge may be a letter; more are marks
-            full = core
-        if full.isalpha() and not _RUN3.search(full):
-            return (full,)
+    def token(self, token: str) -> tuple[tuple[str, ...], ...]:
+        """The token's readings, each of one word or more; which of them counts, the stems decide."""
+        if token.isalpha() and not _RUN3.search(token):
+            return ((token,),)
+        core, full = token.strip(_EDGE), token.strip(_PLAIN_EDGE)
+        texts = [core or full]
+        if core and full != core:
+            at = full.index(core)
+            lead, tail = ("".join(c for c in edge if c in LEET) for edge in (full[:at], full[at + len(core) :]))
+            # Only a word's beginning can be a stem: symbols behind a long one don't change it.
+            tail = "" if core.isalpha() and len(core) >= LENGTHS[-1] else tail
+            # Symbols before the word: any number of their runs may be marks, the others letters.
+            texts += [lead[k:] + core + tail for k in range(len(lead)) if not k or lead[k] != lead[k - 1]]
+            texts.append(core + tail)
         out = []
-        for text in dict.fromkeys((core, full)):
+        for text in dict.fromkeys(texts):
             pieces = [p for p in _SEPARATORS.split(text) if p]
-            if len(pieces) >= 3 and all(len(p) == 1 for p in pieces):
-                pieces = ["".join(pieces)]
-            for piece in pieces:
-                if piece.isalpha() and not _RUN3.search(piece):
-                    out.append(piece)
-                elif any(c.isalpha() for c in piece):
-                    out.append(self.model.decode(piece))
-        return tuple(dict.fromkeys(out))
+            joined = ["".join(pieces)]
+            if not (len(pieces) >= 3 and all(len(p) == 1 for p in pieces)):
+                out.append(self._read(pieces))
+            if len(pieces) > 1:
+                out.append(self._read(joined))
+        return tuple(dict.fromkeys(r for r in out if r))
+
+    def _read(self, pieces: list[str]) -> tuple[str, ...]:
+        out = []
+        for piece in pieces:
+            if piece.isalpha() and not _RUN3.search(piece):
+                out.append(piece)
+            elif any(c.isalpha() for c in piece) or (len(piece) > 2 and len(set(piece)) > 1 and not piece.isdigit() and all(c in LEET for c in piece)):
+                out.append(self.model.decode(piece))
+        return tuple(out)
 
     def words(self, text: str) -> tuple[Counter, list[str]]:
-        """Counts of the restored words, and restored stretches of letters set apart by spaces."""
+        """Counts of the tokens' readings, and restored stretches of letters set apart by spaces."""
         tokens = text.lower().split()
         if len(self.known) > self.cache:
             self.known.clear()
         counts: Counter = Counter()
         for token, n in Counter(tokens).items():
-            words = self.known.get(token)
-            if words is None:
-                words = self.known[token] = self.token(token)
-            for word in words:
-                counts[word] += n
+            readings = self.known.get(token)
+            if readings is None:
+                readings = self.known[token] = self.token(token)
+            if readings:
+                counts[readings] += n
         apart = "".join([t if len(t) == 1 else " " for t in tokens]).split()
         return counts, [self.model.decode(x) for x in ("".join(c for c in run if c.isalpha() or c in LEET) for run in apart if len(run) > 3) if len(set(x)) > 2]
 
 
-#: Lengths of word beginnings, and how often a text must hold one at least.
-LENGTHS, TIMES = range(3, 10), (1, 2, 3, 4)
-
 
 def beginnings(word: str) -> list[str]:
     """A word's beginnings of three to nine letters; a shorter word itself."""
     return [word[:k] for k in LENGTHS if k <= len(word)] or [word]
 
 
+def merged(readings: tuple[tuple[str, ...], ...], stems_of) -> Counter:
+    """How often each stem is in a token: as often as in the reading that has it most."""
+    out: Counter = Counter()
+    for words in readings:
+        out |= Counter(b for word in words for b in stems_of(word))
+    return out
+
+
+def _letter(letter: str) -> str:
+    """A regular expression of a letter or a symbol that may stand for it."""
+    return "[" + re.escape(letter + "".join(c for c, letters in LEET.items() if letter in letters)) + "]"
+
+
+#: Letters and symbols that may be one another as one letter (a star has none: it may be any vowel).
+_FOLD = str.maketrans({c: letters[0] for c, letters in LEET.items() if c != "*"} | {"l": "i", "£": "i", "b": "g", "8": "g"})
+
+
 class Lexicon:
-    """Signs of toxic texts: a word beginning, how often it must be there, and its log odds."""
+    """Signs of toxic texts: a word beginning, how often it must be there, and its log odds.
+
+    Stems in ``closed`` aren't looked for in words split by blanks, as usual words make them there.
+    """
 
-    def __init__(self, signs: list[tuple[str, int, float]], weights: tuple[float, ...]) -> None:
+    def __init__(self, signs: list[tuple[str, int, float]], weights: tuple[float, ...], closed: frozenset[str] = frozenset()) -> None:
         self.signs, self.weights = signs, weights
         self.stems = {stem for stem, _, _ in signs}
-
-    def features(self, restorer: Restorer, text: str, known: dict[str, tuple[str, ...]]) -> tuple[float, float, float]:
+        self.split = [(s.translate(_FOLD), s, re.compile(r"(?<![^\W\d_])" + r"\s*".join(map(_letter, s)))) for s in sorted(self.stems - closed)]
+
+    def across(self, text: str) -> Counter:
+        """How often stems are in a text as a word's beginning with blanks inside it."""
+        lower = text.lower()
+        squeezed = "".join(lower.translate(_FOLD).split())
+        out: Counter = Counter()
+        for folded, stem, pattern in self.split:
+            if ("*" in squeezed or folded in squeezed) and (n := sum(any(c.isspace() for c in m) for m in pattern.findall(lower))):
+                out[stem] = n
+        return out
+
+    def features(self, restorer: Restorer, text: str, known: dict[tuple, tuple[tuple[str, int], ...]]) -> tuple[float, float, float]:
         """Largest log odds of the signs found, their sum, and log of how often stems stand in the text."""
         counts, apart = restorer.words(text)
         if len(known) > restorer.cache:
             known.clear()
         found: Counter = Counter()
-        for word, n in counts.items():
-            stems = known.get(word)
+        for readings, n in counts.items():
+            stems = known.get(readings)
             if stems is None:
-                stems = known[word] = self._stems(restorer.model, word)
-            for stem in stems:
-                found[stem] += n
-        for run in apart:
-            found.update(s for s in self.stems if s in run)
+                stems = known[readings] = tuple(merged(readings, lambda w: self._stems(restorer.model, w)).items())
+            for stem, times in stems:
+                found[stem] += n * times
+        found += Counter(s for run in apart for s in self.stems if s in run) | self.across(text)
         if not found:
             return 0.0, 0.0, 0.0
         odds = [(w, found[s]) for s, times, w in self.signs if found[s] >= times]
@@ -302,9 +345,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             for label, text in zip(labels_, texts_, strict=True):
                 counts, apart = restorer.words(text or "")
                 found: Counter = Counter()
-                for w, n in [*counts.items(), *((w, 1) for w in apart)]:
-                    for b in beginnings(w):
-                        found[b] += n
+                for readings, n in [*counts.items(), *((((w,),), 1) for w in apart)]:
+                    if len(readings) == 1 == len(readings[0]):
+                        for b in beginnings(readings[0][0]):
+                            found[b] += n
+                    else:
+                        for b, times in merged(readings, beginnings).items():
+                            found[b] += n * times
                 signs = [(b, t) for b, n in found.items() for t in TIMES if t <= n]
                 if label:
                     key = least_shingle(text or "")
@@ -324,8 +371,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     held = counted.where((F.col("toxic") >= least) & (F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1)) >= odds - 0.01)).collect()
     signs = choose_signs([(r["stem"], r["times"], r["toxic"], r["clean"]) for r in held], n_toxic, n_clean, least, odds)
 
-    rows = texts.mapInArrow(_features(model, Lexicon(signs, ())), "label int, most double, total double, times double").toPandas()
-    return model, Lexicon(signs, fit_logistic(rows[["most", "total", "times"]].to_numpy(float), (rows["label"] > 0).to_numpy(float)))
+    blanks = {(r["stem"], r["label"] > 0): r["n"] for r in texts.mapInArrow(_across(Lexicon(signs, ())), "stem string, label int").groupBy("stem", "label").agg(F.count("*").alias("n")).collect()}
+    clean_of = {stem: n for (stem, toxic), n in blanks.items() if not toxic}
+    closed = frozenset(s for s, n in clean_of.items() if log_odds(blanks.get((s, True), 0), n, n_toxic, n_clean) < odds)
+
+    rows = texts.mapInArrow(_features(model, Lexicon(signs, (), closed)), "label int, most double, total double, times double").toPandas()
+    return model, Lexicon(signs, fit_logistic(rows[["most", "total", "times"]].to_numpy(float), (rows["label"] > 0).to_numpy(float)), closed)
+
+
+def _across(lexicon: Lexicon):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for labels, texts in common.columns_of(batches, "label", "text"):
+            rows = [(stem, label) for label, text in zip(labels, texts, strict=True) for stem in lexicon.across(text or "")]
+            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in rows], pa.string()), pa.array([x for _, x in rows], pa.int32())], names=["stem", "label"])
+
+    return run
 
 
 def _features(model: CharModel, lexicon: Lexicon):
