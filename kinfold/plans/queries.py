@@ -235,7 +235,7 @@ def hard_negatives(spark, d):
 
 @query
 def random_negatives(spark, d):
-    return training.sample_negatives(views.scored_pairs(spark, d), 5, 3, 42, "p").select("s1_id", "cand_id", "label")
+    return training.sample_negatives(views.scored_pairs(spark, d, Blocking().enabled, whole=True), 5, 3, 42, "p").select("s1_id", "cand_id", "label")
 
 
 @query

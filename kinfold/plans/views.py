@@ -52,9 +52,9 @@ def truth_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 SCORED = ("exact_name", "exact_core", "name_signature")
 
 
-def strategy_pairs(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+def strategy_pairs(spark: SparkSession, sf_dir: str, *names: str, whole: bool = False) -> DataFrame:
     """(s1_id, cand_id, score, bits, source) of the named strategies."""
-    ready = normalized(spark, sf_dir)
+    ready = normalized(spark, sf_dir, whole)
     records, others = candidates.sides(saved(ready, "normalized") if len(names) > 1 else ready)
     total = candidates.sides(entities(spark, sf_dir))[1].count()
     parts = [blocking.ask_index(records, others, STRATEGY[n], total) for n in names]
@@ -64,9 +64,12 @@ def strategy_pairs(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     return blocking.merged(pairs).withColumn("source", candidates.source_of(F.col("cand_id")))
 
 
-def scored_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of ``SCORED`` with a probability that follows from their score alone, and their label."""
+def scored_pairs(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = SCORED, whole: bool = False) -> DataFrame:
+    """Pairs of the named strategies with a probability that follows from their score alone, and their label.
+
+    The SQL of the queries that have one takes ``SCORED``; those without take all enabled strategies.
+    """
     from ..operators.training import label
 
-    pairs = strategy_pairs(spark, sf_dir, *SCORED)
+    pairs = strategy_pairs(spark, sf_dir, *names, whole=whole)
     return label(pairs.withColumn("p", F.round(F.col("score") / (F.col("score") + 40), 4)), truth(spark, sf_dir))

@@ -24,3 +24,10 @@ def test_long_partial_is_the_best_stretch():
         stretches = [b[max(0, i) : i + len(a)] for i in range(1 - len(a), len(b))]
         assert _window_lcs(a, b).tolist() == [lcs_length(a, s) for s in stretches]
         assert partial(a, b) == max(indel(a, s) for s in stretches)
+
+
+def test_random_negatives_come_from_all_strategies(spark, tmp_path):
+    rows = [(0, "amber mill\nx", "web", "en"), (48500, "cobalt quarry\ny", "web", "en")]  # one address, no word in common
+    spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = [(r["s1_id"], r["cand_id"], r["label"]) for r in QUERIES["random_negatives"](spark, str(tmp_path)).collect()]
+    assert got == [("S1-0", f"S{1 + 48500 % 3}-48500", 0)]
