@@ -31,9 +31,10 @@ _FOUND = pa.schema([("query_id", pa.int64()), ("query", pa.int64()), ("vec_id",
 
 
 def sign_code(vector: Column, bits: int = 64) -> Column:
-    """Bit i of a 64-bit code: whether component i is above zero. Null vectors have a null code."""
-    return F.when(vector.isNotNull(), F.aggregate(
-        F.transform(F.slice(vector, 1, bits), lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i.cast("int"))).otherwise(F.lit(0).cast("long"))),
+    """Bit i of a 64-bit code: whether component i is above zero. Null vectors have a null code; other lengths are an error."""
+    wrong = F.raise_error(F.concat(F.lit(f"a vector must have {bits} components, not "), F.size(vector).cast("string"))).cast("long")
+    return F.when(vector.isNotNull() & (F.size(vector) != bits), wrong).when(vector.isNotNull(), F.aggregate(
+        F.transform(vector, lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i.cast("int"))).otherwise(F.lit(0).cast("long"))),
         F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x)))
 
 
