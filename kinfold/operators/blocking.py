@@ -6,8 +6,6 @@ join is hot, however the data are spread; counting them is one aggregation with
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -46,18 +44,27 @@ def keys_of(strategy: str) -> Column:
     return F.array_distinct(rules[strategy]())
 
 
-def raw_keys(entities: DataFrame, strategy: str) -> DataFrame:
-    """(entity_id, normalized_country, key)."""
-    return entities.select("entity_id", "normalized_country", F.explode(keys_of(strategy)).alias("key"))
+def raw_keys(entities: DataFrame, *strategies: str) -> DataFrame:
+    """(entity_id, normalized_country, strategy, key) of the named strategies: one pass over the records."""
+    keys = F.array(*(F.struct(F.lit(STRATEGY[n].bit).alias("strategy"), keys_of(n).alias("keys")) for n in strategies))
+    each = entities.select("entity_id", "normalized_country", F.explode(keys).alias("k"))
+    return each.select("entity_id", "normalized_country", "k.strategy", F.explode("k.keys").alias("key"))
+
 
+def _of(column: str, strategies: tuple[Strategy, ...], value) -> Column:
+    """A value of the strategy whose bit ``column`` holds; null where ``value`` gives None."""
+    out = F.lit(None)
+    for s in strategies:
+        out = F.when(F.col(column) == s.bit, F.lit(value(s))).otherwise(out)
+    return out
 
-def scoped(keys: DataFrame, strategy: Strategy, asking: bool, wildcard: bool = False) -> DataFrame:
+
+def scoped(keys: DataFrame, strategies: tuple[Strategy, ...], asking: bool, wildcard: bool = False) -> DataFrame:
     """Keys by country. A candidate stands under its country or ``?``; a record asks under its country and ``?``.
 
-    With ``wildcard``, candidates also stand under ``*``, where records without a country ask.
+    With ``wildcard``, candidates also stand under ``*``, where records without a country ask. Strategies that aren't
+    scoped have their keys as they are.
     """
-    if not strategy.scoped:
-        return keys.select("entity_id", "key")
     country = F.coalesce("normalized_country", F.lit("?"))
     if asking:
         places = F.array_distinct(F.array(country, F.lit("?")))
@@ -65,45 +72,52 @@ def scoped(keys: DataFrame, strategy: Strategy, asking: bool, wildcard: bool = F
             places = F.when(F.col("normalized_country").isNull(), F.array(F.lit("*"))).otherwise(places)
     else:
         places = F.array(country, F.lit("*")) if wildcard else F.array(country)
-    return keys.select("entity_id", "key", F.explode(places).alias("place")).select("entity_id", F.concat_ws("|", "place", "key").alias("key"))
+    places = F.when(_of("strategy", strategies, lambda s: s.scoped), F.transform(places, lambda p: F.concat(p, F.lit("|")))).otherwise(F.array(F.lit("")))
+    return keys.select("entity_id", "strategy", "key", F.explode(places).alias("place")).select("entity_id", "strategy", F.concat("place", "key").alias("key"))
 
 
-def build_index(candidates: DataFrame, strategy: Strategy, wildcard: bool = False) -> DataFrame:
-    """(key, cand_id, source, df) of blocks no larger than the cap."""
-    keys = scoped(raw_keys(candidates, strategy.name), strategy, False, wildcard)
-    sizes = keys.groupBy("key").agg(F.count("*").alias("df")).where(F.col("df") <= strategy.cap)
-    return keys.join(sizes, "key").select("key", F.col("entity_id").alias("cand_id"), "df")
+def build_index(candidates: DataFrame, strategies: tuple[Strategy, ...], wildcard: bool = False) -> DataFrame:
+    """(strategy, key, cand_id, df) of blocks no larger than their strategy's cap."""
+    keys = scoped(raw_keys(candidates, *(s.name for s in strategies)), strategies, False, wildcard)
+    sizes = keys.groupBy("strategy", "key").agg(F.count("*").alias("df")).where(F.col("df") <= _of("strategy", strategies, lambda s: s.cap))
+    return keys.join(sizes, ["strategy", "key"]).select("strategy", "key", F.col("entity_id").alias("cand_id"), "df")
 
 
-def rarest_keys(records: DataFrame, candidates: DataFrame, strategy: Strategy) -> DataFrame:
-    """A record's keys that are rarest among candidates, ``strategy.rarest`` at most; all if that is None.
+def rarest_keys(records: DataFrame, candidates: DataFrame, *strategies: Strategy) -> DataFrame:
+    """A record's keys: (entity_id, normalized_country, strategy, key).
 
-    Keys no candidate has drop out, and so do those of more than four caps. Keys made of a word and a postal
+    Where a strategy says so, only those that are rarest among candidates, ``rarest`` at most. Keys no candidate has
+    then drop out, and so do those of more than four caps. Keys made of a word and a postal
     code are ranked by the word alone, without that ceiling.
     """
-    keys = raw_keys(records, strategy.name)
-    if strategy.rarest is None:
+    ranked = tuple(s for s in strategies if s.rarest is not None)
+    keys = raw_keys(records, *(s.name for s in strategies))
+    if not ranked:
         return keys
-    by = F.split_part("key", F.lit("@"), F.lit(1)) if not strategy.rarest_ceiling else F.col("key")
-    ranked = "name_token" if not strategy.rarest_ceiling else strategy.name
-    counts = raw_keys(candidates, ranked).groupBy(F.col("key").alias("by")).agg(F.count("*").alias("df"))
-    if strategy.rarest_ceiling:
-        counts = counts.where(F.col("df") <= 4 * strategy.cap)
-    rank = F.row_number().over(W.partitionBy("entity_id").orderBy("df", "key"))
-    return keys.withColumn("by", by).join(counts, "by").withColumn("rank", rank).where(F.col("rank") <= strategy.rarest).select("entity_id", "normalized_country", "key")
-
-
-def ask_index(records: DataFrame, candidates: DataFrame, strategy: Strategy, total: int, wildcard: bool = False) -> DataFrame:
-    """(s1_id, cand_id, score, bits): the weight times ln(1 + total / df), summed over shared keys."""
-    asked = scoped(rarest_keys(records, candidates, strategy), strategy, True, wildcard).withColumnRenamed("entity_id", "s1_id")
-    met = asked.join(build_index(candidates, strategy, wildcard), "key")
-    return met.groupBy("s1_id", "cand_id").agg(F.sum(F.lit(strategy.weight) * F.log1p(F.lit(float(total)) / F.col("df"))).alias("score")).withColumn("bits", F.lit(strategy.bit))
+    by = F.when(_of("strategy", strategies, lambda s: s.rarest_ceiling), F.col("key")).otherwise(F.split_part("key", F.lit("@"), F.lit(1)))
+    # What a strategy's keys are ranked by: counts of its own, or of plain words.
+    words = STRATEGY["name_token"]
+    counted = {s.name if s.rarest_ceiling else words.name for s in ranked}
+    counts = raw_keys(candidates, *sorted(counted)).groupBy(F.col("strategy").alias("counted"), F.col("key").alias("by")).agg(F.count("*").alias("df"))
+    of = _of("strategy", ranked, lambda s: s.bit if s.rarest_ceiling else words.bit)
+    ceiling = _of("strategy", ranked, lambda s: 4 * s.cap if s.rarest_ceiling else None)
+    rank = F.row_number().over(W.partitionBy("entity_id", "strategy").orderBy("df", "key"))
+    mine = keys.where(of.isNotNull()).withColumns({"by": by, "counted": of}).join(counts, ["counted", "by"])
+    mine = mine.where(ceiling.isNull() | (F.col("df") <= ceiling)).withColumn("rank", rank).where(F.col("rank") <= _of("strategy", ranked, lambda s: s.rarest))
+    names = ("entity_id", "normalized_country", "strategy", "key")
+    return mine.select(*names).unionByName(keys.where(of.isNull()).select(*names)) if len(ranked) < len(strategies) else mine.select(*names)
 
 
 def all_pairs(records: DataFrame, candidates: DataFrame, total: int, settings: Blocking) -> DataFrame:
-    """Pairs of every enabled strategy: scores summed, bits joined."""
-    parts = [ask_index(records, candidates, STRATEGY[name], total, settings.wildcard_scope) for name in settings.enabled]
-    return merged(reduce(DataFrame.unionByName, parts))
+    """(s1_id, cand_id, score, bits) of every enabled strategy: weight times ln(1 + total / df) summed over shared keys, bits joined.
+
+    Keys of all strategies are made, counted and joined together, so that each side is shuffled once.
+    """
+    strategies = tuple(STRATEGY[n] for n in settings.enabled)
+    asked = scoped(rarest_keys(records, candidates, *strategies), strategies, True, settings.wildcard_scope).withColumnRenamed("entity_id", "s1_id")
+    met = asked.join(build_index(candidates, strategies, settings.wildcard_scope), ["strategy", "key"])
+    score = _of("strategy", strategies, lambda s: s.weight) * F.log1p(F.lit(float(total)) / F.col("df"))
+    return met.groupBy("s1_id", "cand_id").agg(F.sum(score).alias("score"), F.bit_or("strategy").alias("bits"))
 
 
 def merged(pairs: DataFrame) -> DataFrame:

@@ -5,44 +5,58 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Classes of characters by script.
-SCRIPTS = (
-    ("latin_ascii", r"[A-Za-z]"), ("latin_accented", r"[\x{00C0}-\x{024F}]"), ("devanagari", r"[\x{0900}-\x{097F}]"), ("other_indic", r"[\x{0980}-\x{0D7F}]"),
-    ("digit", r"[0-9]"), ("space", r"\s"),
+# Classes of characters, the first that fits.
+CLASSES = (
+    ("ascii_letter", r"[A-Za-z]"), ("digit", r"[\p{Nd}\x{00B2}\x{00B3}\x{00B9}\x{2070}\x{2074}-\x{2079}\x{2080}-\x{2089}]"), ("space", r"[\x{0009}-\x{000D}\x{001C}-\x{0020}\x{0085}\p{Z}]"),
+    ("ascii_punct", r"[\x{0000}-\x{007F}]"), ("latin_ext", r"[\x{0080}-\x{024F}]"), ("devanagari", r"[\x{0900}-\x{097F}]"),
 )
 
+#: Missing values are nulls (for countries blanks, too); empty ones are nulls and blanks.
 COUNTS = """
-SELECT count(*) AS n_rows, count(DISTINCT entity_id) AS n_ids,
-  count(*) FILTER (WHERE business_name IS NULL OR trim(business_name) = '') AS empty_names,
-  count(*) FILTER (WHERE business_address IS NULL OR trim(business_address) = '') AS empty_addresses,
-  count(*) FILTER (WHERE country IS NULL OR trim(country) = '') AS empty_countries
+SELECT count(*) AS n_rows, count(DISTINCT entity_id) AS n_ids, count(*) - count(DISTINCT entity_id) AS repeated_ids,
+  count(*) FILTER (WHERE business_name IS NULL) AS missing_names,
+  count(*) FILTER (WHERE business_address IS NULL) AS missing_addresses,
+  count(*) FILTER (WHERE country IS NULL OR trim(country) = '') AS missing_countries,
+  count(*) FILTER (WHERE trim(coalesce(business_name, '')) = '') AS empty_names,
+  count(*) FILTER (WHERE trim(coalesce(business_address, '')) = '') AS empty_addresses
 FROM {t}
 """
 
 DUPLICATES = """
 SELECT count(*) - count(DISTINCT lower(trim(business_name))) AS repeated_names,
   count(*) - count(DISTINCT lower(trim(business_address))) AS repeated_addresses,
-  count(*) - count(DISTINCT struct(coalesce(business_name, ''), coalesce(business_address, ''), coalesce(country, ''))) AS repeated_records
+  count(*) - count(DISTINCT struct(lower(trim(coalesce(business_name, ''))), lower(trim(coalesce(business_address, ''))), lower(trim(coalesce(country, ''))))) AS repeated_records
 FROM {t}
 """
 
-TEXT = """
-SELECT round(avg(length(business_name)), 6) AS mean_name, CAST(median(length(business_name)) AS DOUBLE) AS median_name, CAST(max(length(business_name)) AS BIGINT) AS longest_name,
-  round(avg(size(split(trim(business_name), ' '))), 6) AS mean_words,
-  round(avg(CASE WHEN business_name RLIKE '[0-9]' THEN 1.0D ELSE 0.0D END), 6) AS with_digit,
-  round(avg(CASE WHEN business_name RLIKE r'[^\\x00-\\x7F]' THEN 1.0D ELSE 0.0D END), 6) AS non_ascii,
-  round(avg(CASE WHEN business_address RLIKE r'\\b[0-9]{{5,6}}\\b' THEN 1.0D ELSE 0.0D END), 6) AS with_postal
-FROM {t}
+
+def _text_columns(column: str, name: str) -> str:
+    share = "round(avg(CASE WHEN {c} RLIKE r'{p}' THEN 1.0D ELSE 0.0D END), 6) AS {n}"
+    return ", ".join([
+        f"round(avg(length({column})), 6) AS {name}_mean", f"CAST(median(length({column})) AS DOUBLE) AS {name}_median", f"CAST(max(length({column})) AS BIGINT) AS {name}_longest",
+        f"round(avg(size(split(trim({column}), ' '))), 6) AS {name}_words", share.format(c=column, p="[0-9]", n=f"{name}_with_digit"), share.format(c=column, p=r"[^\x00-\x7F]", n=f"{name}_non_ascii"),
+    ])
+
+
+TEXT = f"""
+SELECT {_text_columns("business_name", "name")}, {_text_columns("business_address", "address")},
+  round(avg(CASE WHEN business_address RLIKE r'\\b[0-9]{{{{5,6}}}}\\b' THEN 1.0D ELSE 0.0D END), 6) AS address_with_postal
+FROM {{t}}
 """
 
 CATEGORIES = "SELECT coalesce(country, '(none)') AS country, count(*) AS n FROM {t} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 25"
 
-TOP_TOKENS = """
-SELECT token, count(*) AS n FROM (SELECT explode(split(lower(business_name), ' ')) AS token FROM {t}) WHERE token <> ''
+
+def _top_tokens(column: str) -> str:
+    return f"""
+SELECT token, count(*) AS n FROM (SELECT explode(split(lower({column}), ' ')) AS token FROM {{t}}) WHERE token <> ''
 GROUP BY token ORDER BY n DESC, token LIMIT 30
 """
 
 
+TOP_TOKENS, TOP_ADDRESS_TOKENS = _top_tokens("business_name"), _top_tokens("business_address")
+
+
 def run(spark: SparkSession, entities: DataFrame, query: str) -> DataFrame:
     """A query of this module over ``entities``."""
     return spark.sql(query, t=entities)
@@ -54,8 +68,8 @@ def examples(entities: DataFrame, n: int = 5) -> DataFrame:
 
 def scripts(entities: DataFrame) -> DataFrame:
     """(script, n, share) of all characters of names."""
-    of = F.lit("other")
-    for name, pattern in reversed(SCRIPTS):
+    of = F.lit("other_unicode")
+    for name, pattern in reversed(CLASSES):
         of = F.when(F.col("c").rlike(pattern), name).otherwise(of)
     counted = entities.select(F.explode(F.split("business_name", "")).alias("c")).where("c <> ''").groupBy(of.alias("script")).agg(F.count("*").alias("n"))
     total = counted.agg(F.sum("n")).first()[0] or 1

@@ -11,11 +11,9 @@ from pyspark.sql import Window as W
 from ..config import STRATEGIES, STRATEGY, Blocking, Settings
 from ..functions import tfidf
 from ..functions.similarity import levenshtein_similarity, similarities
-from ..operators import blocking, candidates, decide, evaluate, features, models, output, profile, training, validate
-from ..sources.scratch import saved
+from ..operators import blocking, candidates, decide, evaluate, features, models, output, profile, running, training, validate
 from ..streaming.windows import event_windows
 from . import views
-from .sql import ENABLED
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,7 +39,7 @@ def entry(spark, d):
     return _long(_rounded(candidates.top(pairs, "score", 25, "rank"), "score"), "rank").select("s1_id", "cand_id", "source", "score", "rank")
 
 
-for _name, _sql in (("counts", profile.COUNTS), ("dups", profile.DUPLICATES), ("text_stats", profile.TEXT), ("top_tokens", profile.TOP_TOKENS), ("categories", profile.CATEGORIES)):
+for _name, _sql in (("counts", profile.COUNTS), ("dups", profile.DUPLICATES), ("text_stats", profile.TEXT), ("top_tokens", profile.TOP_TOKENS), ("top_address_tokens", profile.TOP_ADDRESS_TOKENS), ("categories", profile.CATEGORIES)):
     QUERIES[f"profile_{_name}"] = lambda spark, d, q=_sql: profile.run(spark, views.entities(spark, d), q)
 
 
@@ -125,42 +123,42 @@ def rarest_k_tokens(spark, d):
 
 @query
 def cand_union_bits(spark, d):
-    return _rounded(views.strategy_pairs(spark, d, *ENABLED), "score").withColumn("n_strategies", F.bit_count("bits"))
+    return _rounded(views.strategy_pairs(spark, d), "score").withColumn("n_strategies", F.bit_count("bits"))
 
 
 @query
 def cand_precap(spark, d):
-    pairs = _rounded(views.strategy_pairs(spark, d, *ENABLED), "score")
+    pairs = _rounded(views.strategy_pairs(spark, d), "score")
     return _long(candidates.top(pairs, "score", 200, "rank"), "rank").select("s1_id", "cand_id", "source", "rank")
 
 
 @query
 def cand_under_served(spark, d):
     records, _ = candidates.sides(views.normalized(spark, d))
-    return candidates.under_served(records, views.strategy_pairs(spark, d, *views.SCORED), 3)
+    return candidates.under_served(records, views.strategy_pairs(spark, d), 3)
 
 
 @query
 def cand_recall(spark, d):
-    return _rounded(candidates.recall(views.strategy_pairs(spark, d, *ENABLED), views.truth(spark, d)), "recall")
+    return _rounded(candidates.recall(views.strategy_pairs(spark, d), views.truth(spark, d)), "recall")
 
 
 @query
 def cand_reduction(spark, d):
     records, others = candidates.sides(views.entities(spark, d))
-    out = candidates.sizes(records, others, views.strategy_pairs(spark, d, *views.SCORED))
+    out = candidates.sizes(records, others, views.strategy_pairs(spark, d))
     return _rounded(_rounded(_long(out, "pairs", "max_candidates"), "mean_candidates"), "reduction", places=9)
 
 
 @query
 def cand_quick_capped(spark, d):
     """The whole candidate query: all strategies, both caps, quick scores."""
-    return candidates.generate(saved(views.normalized(spark, d, whole=True), "normalized"), Blocking())
+    return candidates.generate(views.normalized(spark, d), Blocking())
 
 
 @query
 def fuzzy_tfidf_topk(spark, d):
-    records, others = candidates.sides(saved(views.normalized(spark, d, whole=True), "normalized"))
+    records, others = candidates.sides(views.normalized(spark, d))
     return candidates.fuzzy_pairs(records, others, Blocking())
 
 
@@ -181,7 +179,7 @@ for _n, _k in (("jaro", "jaro"), ("jaro_winkler", "jw"), ("token_set", "tset"),
 
 def _with_text(spark, d) -> DataFrame:
     records, others = candidates.sides(views.normalized(spark, d))
-    return candidates.with_texts(views.strategy_pairs(spark, d, *views.SCORED), records, others, *features.TEXT_COLUMNS)
+    return candidates.with_texts(views.strategy_pairs(spark, d), records, others, *features.TEXT_COLUMNS)
 
 
 def _features(columns: dict, *rounded: str) -> Query:
@@ -209,7 +207,7 @@ def feat_group_context(spark, d):
 
 @query
 def feat_strategy_flags(spark, d):
-    pairs = views.strategy_pairs(spark, d, *ENABLED)
+    pairs = views.strategy_pairs(spark, d)
     return pairs.select("s1_id", "cand_id", *(c.alias(n) for n, c in blocking.strategy_flags(F.col("bits")).items()))
 
 
@@ -223,7 +221,7 @@ def feat_tfidf_cosine(spark, d):
 @query
 def features_all(spark, d):
     """All 81 features of the capped candidates."""
-    ready = saved(views.normalized(spark, d, whole=True), "normalized")
+    ready = views.normalized(spark, d)
     records, others = candidates.sides(ready)
     return features.compute(candidates.generate(ready, Blocking()), records, others)
 
@@ -235,7 +233,7 @@ def hard_negatives(spark, d):
 
 @query
 def random_negatives(spark, d):
-    return training.sample_negatives(views.scored_pairs(spark, d, Blocking().enabled, whole=True), 5, 3, 42, "p").select("s1_id", "cand_id", "label")
+    return training.sample_negatives(views.scored_pairs(spark, d), 5, 3, 42, "p").select("s1_id", "cand_id", "label")
 
 
 @query
@@ -314,9 +312,16 @@ def submission_lists(spark, d):
 
 @query
 def submission_check(spark, d):
-    decided = _decided(spark, d)
-    lists = output.id_lists(_records(spark, d), decided.where("pred")).select(F.col("source1_entity_id").alias("s1_id"), F.col("matched_entity_ids").alias("ids"))
-    return validate.output_problems(lists, _records(spark, d), views.entities(spark, d).where(~F.col("entity_id").startswith("S1-")), decided)
+    """An output with every problem: lists of French records are left out, Spanish ones stand twice, German ones name
+    an unknown id, and French candidates stand where records should, each with itself as its match."""
+    decided, records = _decided(spark, d), _records(spark, d)
+    others = views.entities(spark, d).where(~F.col("entity_id").startswith("S1-"))
+    lists = output.id_lists(records, decided.where("pred")).join(records.select(F.col("entity_id").alias("source1_entity_id"), "country"), "source1_entity_id")
+    ids = F.col("matched_entity_ids")
+    lists = lists.where("country <> 'fr'").select(F.col("source1_entity_id").alias("s1_id"), F.when(F.col("country") == "de", F.concat(ids, F.lit(",S9-0"))).otherwise(ids).alias("ids"), "country")
+    broken = lists.union(lists.where("country = 'es'").withColumn("ids", F.lit(""))).select("s1_id", "ids")
+    extra = others.where("country = 'fr' AND entity_id LIKE 'S2-%'").select(F.col("entity_id").alias("s1_id"), F.col("entity_id").alias("ids"))
+    return validate.output_problems(broken.union(extra), records, others, decided)
 
 
 @query
@@ -343,8 +348,8 @@ def union_diagonal(spark, d):
 
 @query
 def running_pairs(spark, d):
-    counts = views.strategy_pairs(spark, d, *views.SCORED).groupBy("s1_id").agg(F.count("*").alias("n"))
-    return counts.select("s1_id", F.sum("n").over(W.orderBy("s1_id").rowsBetween(W.unboundedPreceding, 0)).alias("running"))
+    counts = views.strategy_pairs(spark, d).groupBy("s1_id").agg(F.count("*").alias("n"))
+    return running.running_total(counts, "s1_id", "n", "running").select("s1_id", "running")
 
 
 @query

@@ -5,7 +5,6 @@ from __future__ import annotations
 from ..config import STRATEGIES, STRATEGY, Settings, Strategy
 from ..functions.words import ADDRESS_WORDS, COUNTRY_NAMES, LEGAL_WORDS, NAME_WORDS
 from ..operators.decide import weight_grid
-from .views import SCORED
 
 
 def _text(s: str) -> str:
@@ -52,7 +51,7 @@ _ADDRESS = _mapped(
 _LEGAL = "[" + ", ".join(map(_text, LEGAL_WORDS)) + "]"
 
 ENTITIES = """ent AS MATERIALIZED (
-  SELECT 'S' || (1 + doc_id % 3) || '-' || doc_id AS entity_id, substr(split_part(text, chr(10), 1), 1, 60) AS business_name,
+  SELECT 'S' || (1 + doc_id % 3) || '-' || doc_id AS entity_id, split_part(text, chr(10), 1) AS business_name,
          (doc_id % 97) || ' ' || source || ' rd ' || (10000 + doc_id % 500) AS business_address, lang AS country
   FROM documents)"""
 
@@ -124,7 +123,7 @@ def pairs_of(*names: str) -> str:
 
 
 ENABLED = tuple(s.name for s in STRATEGIES if s.name != "char_ngram")
-SCORED_PAIRS = f"""{pairs_of(*SCORED)}, {TRUTH}, scored AS MATERIALIZED (
+SCORED_PAIRS = f"""{pairs_of(*ENABLED)}, {TRUTH}, scored AS MATERIALIZED (
   SELECT pairs.*, round(score / (score + 40), 4) AS p, (truth.s1_id IS NOT NULL)::INT AS label,
     max(round(score / (score + 40), 4)) OVER (PARTITION BY s1_id) AS best,
     row_number() OVER (PARTITION BY s1_id ORDER BY round(score / (score + 40), 4) DESC, cand_id) AS place
@@ -169,8 +168,8 @@ _NEXT = "SELECT a.p_partkey, a.p_name AS a, b.p_name AS b FROM part a JOIN part
 
 
 def _pair_columns(select: str) -> str:
-    """Features over the pairs of ``SCORED``; a is the record, b the candidate."""
-    return f"WITH {pairs_of(*SCORED)} SELECT s1_id, cand_id, {select} FROM pairs JOIN nrm a ON a.entity_id = s1_id JOIN nrm b ON b.entity_id = cand_id"
+    """Features over the pairs of ``ENABLED``; a is the record, b the candidate."""
+    return f"WITH {pairs_of(*ENABLED)} SELECT s1_id, cand_id, {select} FROM pairs JOIN nrm a ON a.entity_id = s1_id JOIN nrm b ON b.entity_id = cand_id"
 
 
 def _set(x: str, name: str) -> str:
@@ -201,19 +200,44 @@ d AS (SELECT p_partkey, sum(x.w * y.w) AS c FROM p JOIN n x ON x.text = a JOIN n
 SELECT p_partkey, round(coalesce(c, 0), 6) AS cosine FROM p LEFT JOIN d USING (p_partkey)"""
 
 
+def _indel(a: str, b: str, more: str = "", value: str = "") -> str:
+    """Similarity of two texts of ``_NEXT`` by the dynamic programme of their longest common subsequence, a row a step."""
+    value = value or "CASE WHEN length(a) + length(b) = 0 THEN 1 ELSE 2 * lcs / (length(a) + length(b)) END"
+    return f"""WITH RECURSIVE t AS (SELECT p_partkey, {a} AS a, {b} AS b {more} FROM ({_NEXT})), d AS (
+  SELECT *, 0 AS i, list_transform(range(length(b) + 1), lambda x: 0) AS r FROM t
+  UNION ALL SELECT * EXCLUDE (i, r, c), i + 1, list_transform(range(1, length(b) + 2), lambda j: list_max(c[1:j])) FROM (
+    SELECT *, list_concat([0], list_transform(range(1, length(b) + 1), lambda j: CASE WHEN substr(a, i + 1, 1) = substr(b, j, 1) THEN r[j] + 1 ELSE r[j + 1] END)) AS c FROM d WHERE i < length(a))
+), f AS (SELECT *, r[length(b) + 1] AS lcs FROM d WHERE i = length(a))
+SELECT p_partkey, round({value}, 6) AS sim FROM f"""
+
+
+def _words(c: str) -> str:
+    return f"list_filter(string_split_regex({c}, '\\s+'), lambda w: w <> '')"
+
+
+def _token_set() -> str:
+    x, y = f"list_distinct({_words('a')})", f"list_distinct({_words('b')})"
+    rest = lambda p, q: f"array_to_string(list_sort(list_filter({p}, lambda w: NOT list_contains({q}, w))), ' ')"
+    shared = f"coalesce(length(array_to_string(list_intersect({x}, {y}), ' ')), 0)"
+    value = """CASE WHEN NOT full_sides THEN 0 WHEN s > 0 AND (a = '' OR b = '') THEN 1 ELSE greatest(
+      2 * (s + (s > 0)::INT + lcs) / (2 * s + CASE WHEN a = '' THEN 0 ELSE (s > 0)::INT + length(a) END + CASE WHEN b = '' THEN 0 ELSE (s > 0)::INT + length(b) END),
+      CASE WHEN s > 0 THEN 2 * s / (2 * s + 1 + length(a)) ELSE 0 END, CASE WHEN s > 0 THEN 2 * s / (2 * s + 1 + length(b)) ELSE 0 END) END"""
+    return _indel(rest(x, y), rest(y, x), f", {shared} AS s, len({x}) > 0 AND len({y}) > 0 AS full_sides", value)
+
+
 _ERRORS = f"""{SCORED_PAIRS}, dec AS (SELECT *, {_RULE} AS pred FROM scored), err AS (
   SELECT s1_id, cand_id, 'fp' AS kind, 'accepted' AS cause FROM dec WHERE pred AND label = 0
   UNION ALL SELECT s1_id, cand_id, 'fn', CASE WHEN pred IS NULL THEN 'missed_by_blocking' ELSE 'below_threshold' END FROM truth LEFT JOIN dec USING (s1_id, cand_id) WHERE pred IS NULL OR NOT pred)"""
 
 SQL = {
     "entry": capped(25, "exact_core"),
-    "profile_counts": f"WITH {ENTITIES} SELECT count(*) AS n_rows, count(DISTINCT entity_id) AS n_ids, count(*) FILTER (WHERE business_name IS NULL OR trim(business_name) = '') AS empty_names, count(*) FILTER (WHERE business_address IS NULL OR trim(business_address) = '') AS empty_addresses, count(*) FILTER (WHERE country IS NULL OR trim(country) = '') AS empty_countries FROM ent",
-    "profile_dups": f"WITH {ENTITIES} SELECT count(*) - count(DISTINCT lower(trim(business_name))) AS repeated_names, count(*) - count(DISTINCT lower(trim(business_address))) AS repeated_addresses, count(*) - count(DISTINCT (coalesce(business_name, ''), coalesce(business_address, ''), coalesce(country, ''))) AS repeated_records FROM ent",
-    "profile_text_stats": rf"WITH {ENTITIES} SELECT round(avg(length(business_name)), 6) AS mean_name, median(length(business_name))::DOUBLE AS median_name, max(length(business_name)) AS longest_name, round(avg(len(string_split(trim(business_name), ' '))), 6) AS mean_words, round(avg(regexp_matches(business_name, '[0-9]')::INT), 6) AS with_digit, round(avg(regexp_matches(business_name, '[^\x00-\x7F]')::INT), 6) AS non_ascii, round(avg(regexp_matches(business_address, '\b[0-9]{{5,6}}\b')::INT), 6) AS with_postal FROM ent",
-    "profile_top_tokens": f"WITH {ENTITIES} SELECT token, count(*) AS n FROM (SELECT unnest(string_split(lower(business_name), ' ')) AS token FROM ent) WHERE token <> '' GROUP BY token ORDER BY n DESC, token LIMIT 30",
+    "profile_counts": f"WITH {ENTITIES} SELECT count(*) AS n_rows, count(DISTINCT entity_id) AS n_ids, count(*) - count(DISTINCT entity_id) AS repeated_ids, count(*) FILTER (WHERE business_name IS NULL) AS missing_names, count(*) FILTER (WHERE business_address IS NULL) AS missing_addresses, count(*) FILTER (WHERE country IS NULL OR trim(country) = '') AS missing_countries, count(*) FILTER (WHERE trim(coalesce(business_name, '')) = '') AS empty_names, count(*) FILTER (WHERE trim(coalesce(business_address, '')) = '') AS empty_addresses FROM ent",
+    "profile_dups": f"WITH {ENTITIES} SELECT count(*) - count(DISTINCT lower(trim(business_name))) AS repeated_names, count(*) - count(DISTINCT lower(trim(business_address))) AS repeated_addresses, count(*) - count(DISTINCT (lower(trim(coalesce(business_name, ''))), lower(trim(coalesce(business_address, ''))), lower(trim(coalesce(country, ''))))) AS repeated_records FROM ent",
+    "profile_text_stats": rf"WITH {ENTITIES} SELECT " + ", ".join(rf"round(avg(length({c})), 6) AS {n}_mean, median(length({c}))::DOUBLE AS {n}_median, max(length({c})) AS {n}_longest, round(avg(len(string_split(trim({c}), ' '))), 6) AS {n}_words, round(avg(regexp_matches({c}, '[0-9]')::INT), 6) AS {n}_with_digit, round(avg(regexp_matches({c}, '[^\x00-\x7F]')::INT), 6) AS {n}_non_ascii" for c, n in (("business_name", "name"), ("business_address", "address"))) + r", round(avg(regexp_matches(business_address, '\b[0-9]{5,6}\b')::INT), 6) AS address_with_postal FROM ent",
+    **{f"profile_top_{n}tokens": f"WITH {ENTITIES} SELECT token, count(*) AS n FROM (SELECT unnest(string_split(lower({c}), ' ')) AS token FROM ent) WHERE token <> '' GROUP BY token ORDER BY n DESC, token LIMIT 30" for c, n in (("business_name", ""), ("business_address", "address_"))},
     "profile_categories": f"WITH {ENTITIES} SELECT coalesce(country, '(none)') AS country, count(*) AS n FROM ent GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 25",
     "profile_examples": f"WITH {ENTITIES} SELECT * FROM ent ORDER BY entity_id LIMIT 5",
-    "profile_scripts": rf"WITH {ENTITIES}, c AS (SELECT unnest(string_split(business_name, '')) AS c FROM ent), k AS (SELECT CASE WHEN regexp_matches(c, '[A-Za-z]') THEN 'latin_ascii' WHEN regexp_matches(c, '[\x{{00C0}}-\x{{024F}}]') THEN 'latin_accented' WHEN regexp_matches(c, '[\x{{0900}}-\x{{097F}}]') THEN 'devanagari' WHEN regexp_matches(c, '[\x{{0980}}-\x{{0D7F}}]') THEN 'other_indic' WHEN regexp_matches(c, '[0-9]') THEN 'digit' WHEN regexp_matches(c, '\s') THEN 'space' ELSE 'other' END AS script FROM c WHERE c <> '') SELECT script, count(*) AS n, round(count(*) / (SELECT count(*) FROM k), 6) AS share FROM k GROUP BY script",
+    "profile_scripts": rf"WITH {ENTITIES}, c AS (SELECT unnest(string_split(business_name, '')) AS c FROM ent), k AS (SELECT CASE WHEN regexp_matches(c, '[A-Za-z]') THEN 'ascii_letter' WHEN regexp_matches(c, '[\p{{Nd}}²³¹⁰⁴-⁹₀-₉]') THEN 'digit' WHEN regexp_matches(c, '[\x09-\x0D\x1C-\x20\x{{0085}}\p{{Z}}]') THEN 'space' WHEN unicode(c) < 128 THEN 'ascii_punct' WHEN unicode(c) < 592 THEN 'latin_ext' WHEN unicode(c) BETWEEN 2304 AND 2431 THEN 'devanagari' ELSE 'other_unicode' END AS script FROM c WHERE c <> '') SELECT script, count(*) AS n, round(count(*) / (SELECT count(*) FROM k), 6) AS share FROM k GROUP BY script",
     "profile_only_in": f"WITH {ENTITIES} SELECT DISTINCT country FROM ent WHERE starts_with(entity_id, 'S1-') AND country NOT IN (SELECT country FROM ent WHERE NOT starts_with(entity_id, 'S1-') AND country <> 'es')",
     "gt_parse_explode": f"WITH {TRUTH} SELECT DISTINCT s1_id, cand_id FROM truth",
     "gt_shape": f"WITH {ENTITIES}, {TRUTH}, l AS (SELECT e.entity_id, count(cand_id) AS n, count(*) FILTER (WHERE starts_with(cand_id, 'S2-')) AS n2, count(*) FILTER (WHERE starts_with(cand_id, 'S3-')) AS n3 FROM ent e LEFT JOIN truth ON s1_id = e.entity_id WHERE starts_with(e.entity_id, 'S1-') GROUP BY 1) SELECT count(*) FILTER (WHERE n = 0) AS without, count(*) FILTER (WHERE n = 1) AS with_one, count(*) FILTER (WHERE n > 1) AS with_several, round(avg(n), 6) AS mean, max(n) AS most, sum(n2)::BIGINT AS source2, sum(n3)::BIGINT AS source3, count(*) FILTER (WHERE n2 > 1) AS several_in_source2 FROM l",
@@ -231,12 +255,16 @@ SQL = {
     "rarest_k_tokens": f"WITH {NORMALIZED}, {_rarest(STRATEGY['name_token'], 'k')} SELECT entity_id, key FROM k_own",
     "cand_union_bits": f"WITH {pairs_of(*ENABLED)} SELECT s1_id, cand_id, source, round(score, 6) AS score, bits, bit_count(bits)::INT AS n_strategies FROM pairs",
     "cand_precap": f"WITH {pairs_of(*ENABLED)} SELECT s1_id, cand_id, source, rank FROM (SELECT *, row_number() OVER (PARTITION BY s1_id, source ORDER BY round(score, 6) DESC, cand_id) AS rank FROM pairs) WHERE rank <= 200",
-    "cand_under_served": f"WITH {pairs_of(*SCORED)} SELECT entity_id AS s1_id, source FROM (SELECT entity_id, unnest([2, 3]) AS source FROM ent WHERE starts_with(entity_id, 'S1-')) e ANTI JOIN (SELECT s1_id, source FROM pairs GROUP BY 1, 2 HAVING count(*) >= 3) s ON e.entity_id = s.s1_id AND e.source = s.source",
+    "cand_under_served": f"WITH {pairs_of(*ENABLED)} SELECT entity_id AS s1_id, source FROM (SELECT entity_id, unnest([2, 3]) AS source FROM ent WHERE starts_with(entity_id, 'S1-')) e ANTI JOIN (SELECT s1_id, source FROM pairs GROUP BY 1, 2 HAVING count(*) >= 3) s ON e.entity_id = s.s1_id AND e.source = s.source",
     "cand_recall": recall(),
-    "cand_reduction": f"WITH {pairs_of(*SCORED)}, c AS (SELECT entity_id, count(cand_id) AS n FROM ent LEFT JOIN pairs ON s1_id = entity_id WHERE starts_with(entity_id, 'S1-') GROUP BY 1) SELECT sum(n)::BIGINT AS pairs, round(avg(n), 6) AS mean_candidates, median(n)::DOUBLE AS median_candidates, max(n) AS max_candidates, round(1 - sum(n) / (count(*) * (SELECT count(*) FROM ent WHERE NOT starts_with(entity_id, 'S1-'))), 9) AS reduction FROM c",
+    "cand_reduction": f"WITH {pairs_of(*ENABLED)}, c AS (SELECT entity_id, count(cand_id) AS n FROM ent LEFT JOIN pairs ON s1_id = entity_id WHERE starts_with(entity_id, 'S1-') GROUP BY 1) SELECT sum(n)::BIGINT AS pairs, round(avg(n), 6) AS mean_candidates, median(n)::DOUBLE AS median_candidates, max(n) AS max_candidates, round(1 - sum(n) / (count(*) * (SELECT count(*) FROM ent WHERE NOT starts_with(entity_id, 'S1-'))), 9) AS reduction FROM c",
     "sim_levenshtein": f"SELECT p_partkey, round(CASE WHEN greatest(length(a), length(b)) = 0 THEN 1 ELSE 1 - levenshtein(a, b) / greatest(length(a), length(b)) END, 6) AS sim FROM ({_NEXT})",
     "sim_jaro": f"SELECT p_partkey, round(jaro_similarity(a, b), 6) AS sim FROM ({_NEXT})",
     "sim_jaro_winkler": f"SELECT p_partkey, round(jaro_winkler_similarity(a, b), 6) AS sim FROM ({_NEXT})",
+    "sim_indel": _indel("a", "b"),
+    "sim_token_sort": _indel(*(f"array_to_string(list_sort({_words(c)}), ' ')" for c in "ab")),
+    "sim_token_set": _token_set(),
+    "sim_prefix": f"SELECT p_partkey, round(CASE WHEN greatest(length(a), length(b)) = 0 THEN 1 ELSE list_max(list_filter(range(least(length(a), length(b)) + 1), lambda n: left(a, n) = left(b, n))) / greatest(length(a), length(b)) END, 6) AS sim FROM ({_NEXT})",
     "feat_set_overlap": _pair_columns(f"{_set('name_tokens', 'name_tok')}, {_set('core_tokens', 'core_tok')}, {_set('address_tokens', 'addr_tok')}"),
     "feat_numeric_postal": _pair_columns("""len(list_intersect(a.numeric_tokens, b.numeric_tokens))::DOUBLE AS num_common, round(len(list_intersect(a.numeric_tokens, b.numeric_tokens)) / greatest(len(a.numeric_tokens), len(b.numeric_tokens), 1), 6) AS num_jacc,
       CASE WHEN len(a.postal_code_candidates) > 0 AND len(b.postal_code_candidates) > 0 THEN (len(list_intersect(a.postal_code_candidates, b.postal_code_candidates)) > 0)::INT::DOUBLE END AS postal_match,
@@ -267,12 +295,18 @@ SQL = {
     "error_rows": f"WITH {_ERRORS} SELECT * FROM err",
     "error_buckets": f"WITH {_ERRORS} SELECT kind, cause, substr(cand_id, 2, 1)::INT AS source, CASE WHEN p >= 0.9 THEN '>=0.9' WHEN p >= 0.7 THEN '0.7-0.9' WHEN p IS NOT NULL THEN '<0.7' ELSE 'unknown' END AS level, count(*) AS n FROM err LEFT JOIN (SELECT s1_id, cand_id, p FROM scored) USING (s1_id, cand_id) GROUP BY ALL",
     "submission_lists": f"WITH {SCORED_PAIRS} SELECT entity_id AS source1_entity_id, coalesce((SELECT string_agg(DISTINCT cand_id, ',' ORDER BY cand_id) FROM scored WHERE s1_id = entity_id AND {_RULE}), '') AS matched_entity_ids FROM ent WHERE starts_with(entity_id, 'S1-')",
-    "submission_check": "SELECT * FROM (VALUES ('missing', 0::BIGINT), ('extra', 0::BIGINT), ('repeated', 0::BIGINT), ('unknown', 0::BIGINT), ('not_candidate', 0::BIGINT)) t(problem, n)",
+    "submission_check": f"""WITH {SCORED_PAIRS}, o AS (
+      SELECT entity_id AS s1_id, (SELECT count(DISTINCT cand_id) FROM scored WHERE s1_id = entity_id AND {_RULE}) AS n, country FROM ent WHERE starts_with(entity_id, 'S1-'))
+    SELECT 'missing' AS problem, count(*) FILTER (WHERE country = 'fr') AS n FROM o
+    UNION ALL SELECT 'extra', count(*) FROM ent WHERE starts_with(entity_id, 'S2-') AND country = 'fr'
+    UNION ALL SELECT 'repeated', count(*) FROM o WHERE country = 'es'
+    UNION ALL SELECT 'unknown', count(*) FROM o WHERE country = 'de'
+    UNION ALL SELECT 'not_candidate', (SELECT count(*) FROM o WHERE country = 'de') + (SELECT count(*) FROM ent WHERE starts_with(entity_id, 'S2-') AND country = 'fr')""",
     "sample_export": f"""WITH {SCORED_PAIRS}, k AS (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY p DESC, cand_id) AS m FROM scored WHERE {_RULE}), r AS (
       SELECT country, s1_id, business_name, cand_id, p, dense_rank() OVER (PARTITION BY country ORDER BY s1_id) AS r FROM k JOIN ent ON entity_id = s1_id WHERE m <= 2) SELECT country, s1_id, business_name, cand_id, p FROM r WHERE r <= 4""",
     "join_semi": f"WITH {ENTITIES}, {TRUTH} SELECT entity_id, country FROM ent WHERE entity_id IN (SELECT s1_id FROM truth)",
     "join_anti": f"WITH {ENTITIES}, {TRUTH} SELECT entity_id, country FROM ent WHERE starts_with(entity_id, 'S1-') AND entity_id NOT IN (SELECT s1_id FROM truth)",
     "union_diagonal": "SELECT n_name AS name, n_regionkey AS region, NULL::DOUBLE AS balance FROM nation UNION ALL SELECT s_name, NULL, s_acctbal FROM supplier",
-    "running_pairs": f"WITH {pairs_of(*SCORED)}, c AS (SELECT s1_id, count(*) AS n FROM pairs GROUP BY 1) SELECT s1_id, sum(n) OVER (ORDER BY s1_id)::BIGINT AS running FROM c",
+    "running_pairs": f"WITH {pairs_of(*ENABLED)}, c AS (SELECT s1_id, count(*) AS n FROM pairs GROUP BY 1) SELECT s1_id, sum(n) OVER (ORDER BY s1_id)::BIGINT AS running FROM c",
     "ext_event_windows": "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL",
 }

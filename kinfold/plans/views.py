@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import STRATEGY
+from ..config import Blocking
 from ..functions.text import normalized_entities
 from ..operators import blocking, candidates
 from ..sources.scratch import saved
@@ -19,26 +21,23 @@ def entity_id(doc_id="doc_id"):
     return F.concat(F.lit("S"), (1 + F.col(doc_id) % 3).cast("string"), F.lit("-"), F.col(doc_id).cast("string"))
 
 
-def entities(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
-    """A document is a record of source 1, 2 or 3 by its number; its first line is its name.
-
-    The SQL of the queries that have one cuts the name to 60 characters; ``whole`` is for those without.
-    """
+def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document is a record of source 1, 2 or 3 by its number; its first line, however long, is its name."""
     address = F.concat((F.col("doc_id") % 97).cast("string"), F.lit(" "), F.col("source"), F.lit(" rd "), (10_000 + F.col("doc_id") % 500).cast("string"))
     name = F.split_part("text", F.lit("\n"), F.lit(1))
-    name = name if whole else F.substring(name, 1, 60)
     return table(spark, sf_dir, "documents").select(entity_id().alias("entity_id"), name.alias("business_name"), address.alias("business_address"), F.col("lang").alias("country"))
 
 
-def normalized(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
-    return normalized_entities(entities(spark, sf_dir, whole))
+def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalised records, saved: the Unicode cleaner runs once however often they are read."""
+    return saved(normalized_entities(entities(spark, sf_dir)), "normalized")
 
 
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(s1_id, cand_id) of documents with one text."""
-    docs = table(spark, sf_dir, "documents").select(entity_id().alias("id"), "text")
+    """(s1_id, cand_id) of documents with one text; texts meet by their SHA-256, so they don't travel."""
+    docs = table(spark, sf_dir, "documents").where("text IS NOT NULL").select(entity_id().alias("id"), F.sha2("text", 256).alias("digest"))
     own = docs.where(F.col("id").startswith("S1-")).withColumnRenamed("id", "s1_id")
-    return own.join(docs.where(~F.col("id").startswith("S1-")).withColumnRenamed("id", "cand_id"), "text").select("s1_id", "cand_id")
+    return own.join(docs.where(~F.col("id").startswith("S1-")).withColumnRenamed("id", "cand_id"), "digest").select("s1_id", "cand_id")
 
 
 def truth_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,28 +47,17 @@ def truth_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.join(lists, "s1_id", "left").select(F.col("s1_id").alias("source1_entity_id"), F.coalesce("ids", F.lit("")).alias("matched_entity_ids"))
 
 
-#: Strategies whose pairs the decision queries score.
-SCORED = ("exact_name", "exact_core", "name_signature")
-
-
-def strategy_pairs(spark: SparkSession, sf_dir: str, *names: str, whole: bool = False) -> DataFrame:
-    """(s1_id, cand_id, score, bits, source) of the named strategies."""
-    ready = normalized(spark, sf_dir, whole)
-    records, others = candidates.sides(saved(ready, "normalized") if len(names) > 1 else ready)
-    total = candidates.sides(entities(spark, sf_dir))[1].count()
-    parts = [blocking.ask_index(records, others, STRATEGY[n], total) for n in names]
-    pairs = parts[0]
-    for p in parts[1:]:
-        pairs = pairs.unionByName(p)
-    return blocking.merged(pairs).withColumn("source", candidates.source_of(F.col("cand_id")))
-
+def strategy_pairs(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+    """(s1_id, cand_id, score, bits, source) of the named strategies, of all enabled ones if none is named."""
+    records, others = candidates.sides(normalized(spark, sf_dir))
+    settings = Blocking() if not names else replace(Blocking(), enabled=names)
+    pairs = blocking.all_pairs(records, others, others.count(), settings)
+    return pairs.withColumn("source", candidates.source_of(F.col("cand_id")))
 
-def scored_pairs(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = SCORED, whole: bool = False) -> DataFrame:
-    """Pairs of the named strategies with a probability that follows from their score alone, and their label.
 
-    The SQL of the queries that have one takes ``SCORED``; those without take all enabled strategies.
-    """
+def scored_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of all enabled strategies with a probability that follows from their score alone, and their label."""
     from ..operators.training import label
 
-    pairs = strategy_pairs(spark, sf_dir, *names, whole=whole)
+    pairs = strategy_pairs(spark, sf_dir)
     return label(pairs.withColumn("p", F.round(F.col("score") / (F.col("score") + 40), 4)), truth(spark, sf_dir))
