@@ -181,23 +181,36 @@ KERNELS: dict[str, Callable[[str, str], float]] = {
 }
 
 
-def similarities(a: Column, b: Column, *names: str) -> Column:
-    """A struct of the named kernels; nulls count as empty strings."""
-    kernels = [KERNELS[n] for n in names]
+def similarity_fields(fields: dict[str, tuple[Column, Column, tuple[str, ...]]]) -> Column:
+    """A struct of ``<field>_<kernel>`` for all fields (two columns and kernels each), in one crossing to Python.
+
+    Nulls count as empty strings. A distinct pair of texts of a batch is looked at once.
+    """
+    plans = [[KERNELS[k] for k in kernels] for _, _, kernels in fields.values()]
+    names = [f"{field}_{k}" for field, (_, _, kernels) in fields.items() for k in kernels]
 
     @F.pandas_udf(StructType([StructField(n, DoubleType()) for n in names]))
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for left, right in batches:
-            known: dict[tuple[str, str], list[float]] = {}
-            rows = []
-            for pair in zip(left, right, strict=True):
-                found = known.get(pair)
-                if found is None:
-                    found = known[pair] = [k(*pair) for k in kernels]
-                rows.append(found)
-            yield pd.DataFrame(rows, columns=list(names), dtype="float64")
-
-    return run(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for columns in batches:
+            out = []
+            for i, kernels in enumerate(plans):
+                known: dict[tuple[str, str], list[float]] = {}
+                rows = []
+                for pair in zip(columns[2 * i], columns[2 * i + 1], strict=True):
+                    found = known.get(pair)
+                    if found is None:
+                        found = known[pair] = [k(*pair) for k in kernels]
+                    rows.append(found)
+                out.append(np.array(rows, np.float64).reshape(len(rows), len(kernels)))
+            yield pd.DataFrame(np.concatenate(out, axis=1), columns=names)
+
+    return run(*(F.coalesce(c, F.lit("")) for a, b, _ in fields.values() for c in (a, b)))
+
+
+def similarities(a: Column, b: Column, *names: str) -> Column:
+    """A struct of the named kernels; nulls count as empty strings."""
+    found = similarity_fields({"k": (a, b, names)})
+    return F.struct(*(found[f"k_{n}"].alias(n) for n in names))
 
 
 def levenshtein_similarity(a: Column, b: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 
 from ..config import FUZZY_BIT, FUZZY_WEIGHT, STRATEGIES, Blocking
 from ..functions import tfidf
-from ..functions.similarity import similarities
+from ..functions.similarity import similarities, similarity_fields
 from . import blocking
 
 
@@ -40,13 +40,13 @@ def with_texts(pairs: DataFrame, records: DataFrame, candidates: DataFrame, *col
 def quick_scores(pairs: DataFrame, records: DataFrame, candidates: DataFrame) -> DataFrame:
     """``pairs`` with ``quick``: seven weighted terms over names, addresses, postal codes, numbers and score."""
     p = with_texts(pairs, records, candidates, "name_core", "normalized_address", "primary_postal", "building_number")
-    p = p.withColumns({"__n": similarities(F.col("a_name_core"), F.col("b_name_core"), "tset", "ratio"), "__a": similarities(F.col("a_normalized_address"), F.col("b_normalized_address"), "tset", "ratio")})
+    p = p.withColumn("__s", similarity_fields({"n": (F.col("a_name_core"), F.col("b_name_core"), ("tset", "ratio")), "a": (F.col("a_normalized_address"), F.col("b_normalized_address"), ("tset", "ratio"))}))
 
     def equal(column: str) -> Column:
         return F.coalesce((F.col(f"a_{column}") == F.col(f"b_{column}")).cast("double"), F.lit(0.0))
 
     quick = (
-        0.35 * F.col("__n.tset") + 0.15 * F.col("__n.ratio") + 0.20 * F.col("__a.tset") + 0.10 * F.col("__a.ratio")
+        0.35 * F.col("__s.n_tset") + 0.15 * F.col("__s.n_ratio") + 0.20 * F.col("__s.a_tset") + 0.10 * F.col("__s.a_ratio")
         + 0.10 * equal("primary_postal") + 0.05 * equal("building_number") + 0.05 * F.least(F.col("score") / 60, F.lit(1.0))
     )
     return p.withColumn("quick", quick).select(*pairs.columns, "quick")

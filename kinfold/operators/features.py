@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions import tfidf
-from ..functions.similarity import levenshtein_similarity, similarities
+from ..functions.similarity import levenshtein_similarity, similarity_fields
 from ..sources.scratch import saved
 from . import blocking
 from .candidates import with_texts
@@ -105,16 +105,17 @@ def compute(pairs: DataFrame, records: DataFrame, candidates: DataFrame) -> Data
         texts = records.select(F.col(a).alias("text")).union(candidates.select(F.col(a).alias("text")))
         grams = tfidf.word_grams(F.col("text")) if words else tfidf.char_grams(F.col("text"), low, high)
         p = tfidf.pair_cosines(p, tfidf.vectors(texts, grams, least), f"a_{a}", f"b_{a}", name)
-    p = p.withColumns({
-        "__name": similarities(F.col("a_normalized_name"), F.col("b_normalized_name"), "ratio", "jaro", "jw", "tsort", "tset", "partial"),
-        "__core": similarities(F.col("a_name_core"), F.col("b_name_core"), "ratio", "jw", "tset", "partial", "prefix"),
-        "__addr": similarities(F.col("a_normalized_address"), F.col("b_normalized_address"), "jaro", "jw", "tsort", "tset", "partial"),
-        "__post": similarities(F.col("a_primary_postal"), F.col("b_primary_postal"), "lcp"),
-        "__both": similarities(F.concat("a_normalized_name", F.lit(" | "), "a_normalized_address"), F.concat("b_normalized_name", F.lit(" | "), "b_normalized_address"), "tset"),
-    })
-    sims = {f"{f}_{k}": F.col(f"__{f}.{k}") for f, ks in (("name", "ratio jaro jw tsort tset partial"), ("core", "ratio jw tset partial"), ("addr", "jaro jw tsort tset partial")) for k in ks.split()}
+    both = [F.concat(f"{x}_normalized_name", F.lit(" | "), f"{x}_normalized_address") for x in "ab"]
+    p = p.withColumn("__s", similarity_fields({
+        "name": (F.col("a_normalized_name"), F.col("b_normalized_name"), ("ratio", "jaro", "jw", "tsort", "tset", "partial")),
+        "core": (F.col("a_name_core"), F.col("b_name_core"), ("ratio", "jw", "tset", "partial", "prefix")),
+        "addr": (F.col("a_normalized_address"), F.col("b_normalized_address"), ("jaro", "jw", "tsort", "tset", "partial")),
+        "post": (F.col("a_primary_postal"), F.col("b_primary_postal"), ("lcp",)),
+        "both": (*both, ("tset",)),
+    }))
+    sims = {f"{f}_{k}": F.col(f"__s.{f}_{k}") for f, ks in (("name", "ratio jaro jw tsort tset partial"), ("core", "ratio jw tset partial"), ("addr", "jaro jw tsort tset partial")) for k in ks.split()}
     edits = {f"{f}_lev": levenshtein_similarity(F.col(f"a_normalized_{c}"), F.col(f"b_normalized_{c}")) for f, c in (("name", "name"), ("addr", "address"))}
-    p = p.withColumns(sims | edits | {"name_prefix": F.col("__core.prefix"), "postal_prefix": F.col("__post.lcp"), "na_combined": F.col("__both.tset")})
+    p = p.withColumns(sims | edits | {"name_prefix": F.col("__s.core_prefix"), "postal_prefix": F.col("__s.post_lcp"), "na_combined": F.col("__s.both_tset")})
     p = p.withColumns(
         set_features(F.col("a_name_tokens"), F.col("b_name_tokens"), "name_tok") | set_features(F.col("a_core_tokens"), F.col("b_core_tokens"), "core_tok")
         | set_features(F.col("a_address_tokens"), F.col("b_address_tokens"), "addr_tok") | number_features() | length_features() | exact_features()
