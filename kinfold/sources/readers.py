@@ -8,7 +8,7 @@ from pathlib import PurePosixPath
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.validate import match_columns
+from ..operators.validate import columns_named
 from .discovery import discover, list_files
 
 SOURCE_COLUMNS = ["entity_id", "business_name", "business_address", "country"]
@@ -32,12 +32,9 @@ def read_file(spark: SparkSession, path: str) -> DataFrame:
 
 def standardised(df: DataFrame, table: str) -> DataFrame:
     """The required columns only, as text with trimmed ids; a list of ids is joined by commas."""
-    names = match_columns(df.columns, required(table), table)
-    kinds = dict(df.dtypes)
     out = []
-    for name, found in names.items():
-        c = F.col(f"`{found}`")
-        if kinds[found].startswith("array"):
+    for name, c, kind in columns_named(df, required(table), table):
+        if kind.startswith("array"):
             c = F.array_join(F.transform(c, lambda x: F.trim(x.cast("string"))), ",")
         c = c.cast("string")
         out.append((F.trim(c) if name.endswith("entity_id") else c).alias(name))

@@ -12,6 +12,8 @@ def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir; where it is unset, a new local folder, which only local mode can share."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="kinfold-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
