@@ -3,9 +3,12 @@
 import json
 import random
 
+import pytest
+
 from kinfold import cli
 from kinfold.operators.ensemble import refit_rounds
-from kinfold.sources import readers
+from kinfold.operators.validate import OutputError
+from kinfold.sources import discovery, readers
 
 
 def test_all_stages(spark, tmp_path):
@@ -38,6 +41,31 @@ def test_all_stages(spark, tmp_path):
     assert json.loads((art / "reports" / "evaluation.json").read_text())["f05"] > 0.8
     assert json.loads((art / "reports" / "blocking_train.json").read_text())["recall"]["all"] > 0.9
     assert (art / "reports" / "profile.md").read_text().startswith("## ")
+    found = json.loads((art / "reports" / "profile.json").read_text())
+    assert found["countries_only_in_test"]["countries"] == [] and found["train_source1"]["top_name_tokens"][0] == ["ltd", 60]
+    # Refitted on all roles where no calibration was chosen, for at least as many rounds as watching the inner role gave.
+    if json.loads((art / "reports" / "choice.json").read_text())["calibration"] == "none":
+        refit = json.loads((art / "reports" / "refit.json").read_text())
+        assert 0 < refit["train_share"] < 1 and all(n >= 10 for n in refit["rounds"].values())
+    ask = ["--data-dir", str(data), "--artifacts-dir", str(art), "--output-dir", str(out), "--validator"]
+    good, bad = tmp_path / "good.py", tmp_path / "bad.py"
+    good.write_text("import sys, os; assert os.path.exists(sys.argv[2]) and os.path.exists(sys.argv[6] + '/test_source1.tsv')")
+    bad.write_text("raise SystemExit('no')")
+    cli.main([*ask, str(good), "--stage", "submission"])
+    with pytest.raises(OutputError, match="no"):
+        cli.main([*ask, str(bad), "--stage", "submission"])
+    cli.main([*ask[:-1], "--stage", "report"])
+    models = json.loads((art / "reports" / "models.json").read_text())
+    assert models["rf_all"]["f05"] > 0.7 and "importance_gbt_deep" in models and "lr_source3" in models
+
+
+def test_data_root(spark, tmp_path, monkeypatch):
+    (tmp_path / "data").mkdir()
+    assert discovery.data_root(spark, str(tmp_path)) == str(tmp_path)
+    monkeypatch.setenv("KINFOLD_DATA_DIR", str(tmp_path / "data"))
+    assert discovery.data_root(spark) == str(tmp_path / "data")
+    with pytest.raises(FileNotFoundError):
+        discovery.data_root(spark, str(tmp_path / "none"))
 
 
 def test_refit_rounds():
