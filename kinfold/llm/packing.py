@@ -1,7 +1,8 @@
 """Packing token ids into fixed sequences: first-fit decreasing in randomised groups.
 
 Documents are tokenised once, where they are read. Their ids then travel, two bytes each,
-to a random group of bounded size (``group_bytes`` of text on average). In a group, full
+to a random group of bounded size (``group_bytes`` of text on average; a row that is repeated goes to another
+group each time, so that copies don't meet in one). In a group, full
 sequences are cut from long documents first; the remainders are packed by first-fit
 decreasing, the first bin with room being found by a tournament tree over the bins' free
 capacities. Last, the emptiest bins are cut up to close the gaps of the others, so that at
@@ -13,12 +14,16 @@ from __future__ import annotations
 
 import itertools
 import os
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -127,12 +132,14 @@ class WordTokenizer:
     #: Words encoded, and ids gathered, at once.
     WORDS, IDS = 16_384, 1 << 20
 
-    def __init__(self, path: str, cache: int = 800_000) -> None:
+    def __init__(self, path: str, cache: int = 150_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Texts with these, in any case, are for the tokenizer alone: special tokens, and what Arrow takes for white space and it doesn't.
+        self.whole = "|".join(["[\x1c-\x1f]", *(f"(?i:{x})" for x in special)])
         vocabulary = self.tokenizer.get_vocab()
         if max(vocabulary.values()) >= 1 << 16:
             raise ValueError("ids need more than 16 bits")
@@ -161,8 +168,7 @@ class WordTokenizer:
             cuts = (2 * (bounds[at : to + 1] - bounds[at])).tolist()
             found += [out[a:b] for a, b in itertools.pairwise(cuts)]
             at = to
-        # Arrow takes these for white space, the tokenizer doesn't.
-        for k in np.flatnonzero(pc.match_substring_regex(texts, "[\x1c-\x1f]").to_numpy(zero_copy_only=False)):
+        for k in np.flatnonzero(pc.match_substring_regex(texts, self.whole).to_numpy(zero_copy_only=False)):
             found[k] = self._ids(self.tokenizer.encode(texts[int(k)].as_py(), add_special_tokens=False))
         return found
 
@@ -185,7 +191,7 @@ class WordTokenizer:
         for w in words:
             if w not in known:
                 core = w.rstrip(_MARKS)
-                if core.isalpha():
+                if core.isalpha() and (core.isascii() or unicodedata.normalize("NFC", core).lower()[-1].isalpha()):
                     plain[w] = core, w[len(core) :]
                 else:
                     other.add(w)
@@ -227,7 +233,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int =
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     ``tokenizer``: path of a tokenizer file of at most 65,536 ids; ``end_id`` ends each
-    document. Null texts are empty: such a document is its end id. Repeated rows are
+    document. Null texts are empty: such a document is its end id. Special tokens written out in a text become
+    their ids, as the tokenizer has it. Repeated rows are
     documents of their own; null ids stay null. ``group_bytes`` of text fill a group on
     average, whatever the corpus' size, so a task's memory doesn't grow. An empty table gives
     no rows. Other columns are not read.
@@ -237,9 +244,14 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int =
     end = np.asarray([end_id], "<u2").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run = WordTokenizer(tokenizer)
-        for batch in common.larger(batches, 8192, 2 * common.BATCH_BYTES):
-            yield common.batch_of(_IDS, batch.column("grp"), batch.column("id"), [x + end for x in run(pc.fill_null(batch.column("text"), ""))])
+        run, task, times = WordTokenizer(tokenizer), TaskContext.get().partitionId(), {}
+        for batch in common.larger(batches, 4 * common.BATCH_ROWS, common.BATCH_BYTES):
+            blobs, grp = [x + end for x in run(pc.fill_null(batch.column("text"), ""))], []
+            for doc_id, blob in zip(batch.column("id").to_pylist(), blobs, strict=True):
+                key = xxhash.xxh3_64_intdigest(blob, seed=(doc_id or 0) & (1 << 63) - 1)
+                times[key] = n = times.get(key, 0) + 1  # the same numbers in whatever order a task's rows come
+                grp.append(xxhash.xxh3_64_intdigest(b"%d %d %d %d" % (seed, key, task, n)) % groups)
+            yield common.batch_of(_IDS, grp, batch.column("id"), blobs)
 
     def pack_group(table: pa.Table) -> pa.Table:
         grp, ids = table.column("grp")[0].as_py(), table.column("doc_id").to_pylist()
@@ -256,11 +268,12 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int =
                 offset += n
         return pa.Table.from_batches([common.batch_of(_PIECE, *zip(*rows, strict=True))], schema=_PIECE)
 
-    texts = docs.select(F.pmod(F.xxhash64(F.lit(seed), id_col, text_col), F.lit(groups)).cast("long").alias("grp"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return texts.mapInArrow(encode, "grp long, doc_id long, ids binary").groupBy("grp").applyInArrow(pack_group, _PIECE_DDL)
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 4096. Nulls, repeats and empty tables: see ``pack_documents``."""
     import public_tokenizers
 
     return pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
