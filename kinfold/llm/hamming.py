@@ -6,7 +6,8 @@ most r bits in some segment. So a query looks up, segment by segment, all values
 unseen can be nearer or as near. Radii grow only for queries that are still open.
 
 The index lies in groups by segment and the high bits of the segment's value; a group of more than
-``GROUP`` codes is split by hash. A query goes to the groups whose high bits are within the radius, where the
+``GROUP`` codes is split by hash. It is laid out once, in a table bucketed by group; each radius shuffles only what is
+asked and reads the buckets where they lie. Equal queries are one query until the end. A query goes to the groups whose high bits are within the radius, where the
 rest of the radius is spent on the low bits, and only its k best come back: look-ups and candidates
 never leave the group. Equal codes are one entry of the index with their k least ids (more can't be in any
 answer), so a code that a third of all rows share is looked up like any other.
@@ -27,7 +28,7 @@ from . import common
 
 #: Codes that one group of the index holds at most, but for chance.
 GROUP = 1 << 16
-_FOUND = pa.schema([("query_id", pa.int64()), ("query", pa.int64()), ("vec_id", pa.int64()), ("distance", pa.int32())])
+_FOUND = pa.schema([("query", pa.int64()), ("vec_id", pa.int64()), ("distance", pa.int32())])
 
 
 def sign_code(vector: Column, bits: int = 64) -> Column:
@@ -89,9 +90,9 @@ def _search(cut: list[tuple[int, int]], high: int, k: int):
             low = width - min(high, width)
             group = Group(index.column("code").to_numpy(), index.column("ids").to_pylist(), offset, low)
             flips = {r: np.array(masks(low, r), np.int64) for r in set(asked.column("rest").to_pylist()) if r <= low}
-            for query_id, query, rest in zip(*(asked.column(c).to_pylist() for c in ("query_id", "query", "rest")), strict=True):
+            for query, rest in zip(*(asked.column(c).to_pylist() for c in ("query", "rest")), strict=True):
                 if rest in flips:
-                    out += [(query_id, query, i, d) for d, i in group.nearest(query, flips[rest], k)]
+                    out += [(query, i, d) for d, i in group.nearest(query, flips[rest], k)]
         return pa.Table.from_batches([common.batch_of(_FOUND, *zip(*out, strict=True))] if out else [], schema=_FOUND)
 
     return run
@@ -117,29 +118,32 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = 10, bits: int = 64) ->
     parts = F.array(*(F.struct(F.lit(i).alias("seg"), head(F.col("code"), o, w).alias("hi")) for i, (o, w) in enumerate(cut)))
     placed = held.select("code", "ids", F.explode(parts).alias("part")).select("part.seg", "part.hi", "code", "ids")
     splits = placed.groupBy("seg", "hi").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("splits"))
-    index = common.saved(placed.join(splits, ["seg", "hi"]).withColumn("split", F.pmod(F.xxhash64("code"), F.col("splits")).cast("int")).select("seg", "hi", "split", "code", "ids"), "segments")
+    key = ("seg", "hi", "split")
+    index = placed.join(splits, ["seg", "hi"]).withColumn("split", F.pmod(F.xxhash64("code"), F.col("splits")).cast("int")).select(*key, "code", "ids")
+    buckets = max(int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-count * len(cut) // (GROUP * 8)))
+    index, name = common.bucketed(index.repartition(buckets, *key), "segments", buckets, key)
     splits = common.saved(index.groupBy("seg", "hi").agg((F.max("split") + 1).alias("splits")), "splits")
-    open_ = common.saved(queries.where("id IS NOT NULL AND code IS NOT NULL").select(F.col("id").alias("query_id"), F.col("code").alias("query")).distinct(), "queries")
+    wanted = common.saved(queries.where("id IS NOT NULL AND code IS NOT NULL").select(F.col("id").alias("query_id"), F.col("code").alias("query")).distinct(), "queries")
+    open_ = common.saved(wanted.select("query").distinct(), "open")
 
     best, done = None, []
-    by = W.partitionBy("query_id", "query").orderBy("distance", "vec_id")
+    by = W.partitionBy("query").orderBy("distance", "vec_id")
     for radius in range(max(w for _, w in cut) + 1):
         near = F.array(*(
             F.struct(F.lit(i).alias("seg"), head(F.col("query"), o, w).bitwiseXOR(F.lit(m)).alias("hi"), F.lit(radius - m.bit_count()).alias("rest"))
             for i, (o, w) in enumerate(cut) for r in range(min(radius, high, w) + 1) for m in masks(min(high, w), r)
         ))
-        asked = open_.select("query_id", "query", F.explode(near).alias("p")).select("query_id", "query", "p.*").join(splits, ["seg", "hi"])
+        asked = open_.select("query", F.explode(near).alias("p")).select("query", "p.*").join(splits, ["seg", "hi"])
         asked = asked.withColumn("split", F.explode(F.sequence(F.lit(0), F.col("splits") - 1))).drop("splits")
-        key = ("seg", "hi", "split")
-        found = asked.groupBy(*key).cogroup(index.groupBy(*key)).applyInArrow(_search(cut, high, k), "query_id long, query long, vec_id long, distance int")
+        found = asked.groupBy(*key).cogroup(index.groupBy(*key)).applyInArrow(_search(cut, high, k), "query long, vec_id long, distance int")
         if best is not None:
             found = found.union(best.select(*found.columns))
         top = common.saved(found.distinct().withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k), "nearest")
         reach = len(cut) * (radius + 1) - 1
-        closed = top.groupBy("query_id", "query").agg(F.count("*").alias("n"), F.max("distance").alias("far")).where((F.col("n") >= k) & (F.col("far") <= reach)).select("query_id", "query")
-        done.append(top.join(closed, ["query_id", "query"]))
-        best = top.join(closed, ["query_id", "query"], "left_anti")
-        open_ = common.saved(open_.join(closed, ["query_id", "query"], "left_anti"), "open")
+        closed = top.groupBy("query").agg(F.count("*").alias("n"), F.max("distance").alias("far")).where((F.col("n") >= k) & (F.col("far") <= reach)).select("query")
+        done.append(top.join(closed, "query"))
+        best = top.join(closed, "query", "left_anti")
+        open_ = common.saved(open_.join(closed, "query", "left_anti"), "open")
         if open_.isEmpty():
             break
     else:
@@ -147,6 +151,8 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = 10, bits: int = 64) ->
     result = done[0]
     for part in done[1:]:
         result = result.union(part.select(*result.columns))
+    common.drop(codes.sparkSession, name)
+    result = wanted.join(result, "query")
     return result.select("query_id", F.col("rank").cast("long").alias("rank"), "vec_id", F.col("distance").cast("long").alias("distance"))
 
 
