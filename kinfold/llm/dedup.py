@@ -185,19 +185,22 @@ def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with its own columns only.
+    """The rows of ``docs`` that stay, with its own columns only, whatever their names.
+
+    Nulls, ties, repeated rows and empty tables are as in ``mark_duplicates``.
 
     The text moves through one shuffle, by digest; a group's other copies are dropped in the
     join itself, so a hot group ends there.
     """
-    names = docs.columns
-    groups = content_groups(docs, id_col, text_col).select(F.col("digest").alias("__d"), F.col("keep_len").alias("__l"), F.col("keep_id").alias("__k"))
-    tagged = docs.withColumns({"__digest": F.unhex(F.sha2(_normalised(text_col), 256)), "__len": F.char_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long")})
-    hit = tagged.join(groups, (F.col("__digest") == F.col("__d")) & (F.col("__len") == F.col("__l")) & common.same(F.col(id_col).cast("long"), F.col("__k")), "inner")
-    return hit.dropDuplicates([id_col, "__digest"]).select(*names)
+    digest, length, d, n, k = common.fresh(docs, "digest", "len", "d", "l", "k")
+    groups = content_groups(docs, id_col, text_col).select(F.col("digest").alias(d), F.col("keep_len").alias(n), F.col("keep_id").alias(k))
+    tagged = docs.withColumns({digest: F.unhex(F.sha2(_normalised(text_col), 256)), length: F.char_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long")})
+    hit = tagged.join(groups, (F.col(digest) == F.col(d)) & (F.col(length) == F.col(n)) & common.same(F.col(id_col).cast("long"), F.col(k)), "inner")
+    return hit.dropDuplicates([id_col, digest]).select(*docs.columns)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, dropped ones too. Nulls, ties, repeats and empty tables: see ``mark_duplicates``."""
     return mark_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 

@@ -195,7 +195,12 @@ def _spread(manifest: DataFrame) -> DataFrame:
 
 
 def normalise_archives(manifest: DataFrame, folder: str, level: int = 4) -> DataFrame:
-    """The manifest of normalised archives and their sidecar indexes; one task inflates an archive once."""
+    """The manifest of normalised archives and their sidecar indexes; one task inflates an archive once.
+
+    ``manifest`` has an ``archive`` column with paths, none of them null; a path that is repeated is normalised
+    again, into a file of its own. Archives without records give empty ones, an empty manifest an empty one; a stream
+    that ends early is an error.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, path = _open(f"{folder}/normal")
@@ -213,7 +218,12 @@ def normalise_archives(manifest: DataFrame, folder: str, level: int = 4) -> Data
 
 
 def read_archives(manifest: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
-    """One row per record of normalised archives; payload digests of responses are recomputed and checked."""
+    """One row per record of normalised archives; payload digests of responses are recomputed and checked.
+
+    Records are found by the sidecar index alone. A page without an id, url or html has nulls or an empty payload, as
+    written; repeated archives give their records again; an empty manifest gives no rows; a payload that isn't what
+    its header says is an error.
+    """
 
     def lines(stream) -> Iterator[bytes]:
         rest = b""
@@ -255,9 +265,12 @@ def _parsed(data: bytes, payloads: bool) -> tuple:
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages to archives and back. Nulls, ties, repeats and empty tables: see ``write_archives``."""
     folder = common.scratch(spark, "warc")
     raw = write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
-    records = read_archives(normalise_archives(raw, folder), folder, payloads=False)
+    normal = normalise_archives(raw, folder)
+    common.remove(spark, f"{folder}/raw")
+    records = read_archives(normal, folder, payloads=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
