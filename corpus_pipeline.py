@@ -13,22 +13,28 @@ from kinfold.llm import common, dedup, jaccard, packing, toxicity
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity operator doesn't reject."""
+    """Documents that the toxicity operator doesn't reject.
+
+    Null texts are empty and stay; null ids and repeated rows are scored like others; an empty table stays empty."""
     return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts: the longest, then the least id (null ids last).
+
+    Null texts are empty and equal to each other; of a repeated row one stays."""
     return dedup.drop_duplicates(docs)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a similarity of 0.8 or more over five-word shingles."""
+    """One document, the least id, of each group linked by a similarity of 0.8 or more over five-word shingles.
+
+    Null and blank texts and rows without an id stay; rows that share an id stay or go together."""
     return jaccard.one_per_component(docs, width=5, p=80, q=100)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of at most 4096 tokens."""
+    """Pieces of sequences of at most 4096 tokens. Null texts are their end id alone; repeated rows are packed each."""
     import public_tokenizers
 
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
@@ -41,6 +47,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``. Extra columns of any name pass all stages but the last; empty tables give no rows."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = common.saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
