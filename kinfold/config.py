@@ -51,6 +51,9 @@ STRATEGIES = (
     Strategy("addr_signature", 512, 3.0, 1500, True),
 )
 FUZZY_BIT, FUZZY_WEIGHT = 1024, 2.0
+# Weights of the quick score's terms, and the blocking score that counts in full.
+QUICK_WEIGHTS = {"name_set": 0.35, "name_ratio": 0.15, "address_set": 0.20, "address_ratio": 0.10, "postal": 0.10, "building": 0.05, "score": 0.05}
+QUICK_FULL_SCORE = 60
 STRATEGY = {s.name: s for s in STRATEGIES}
 
 

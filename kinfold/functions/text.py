@@ -18,6 +18,18 @@ from .words import ADDRESS_WORDS, COUNTRY_NAMES, LEGAL_WORDS, NAME_WORDS
 
 _MARKS = {c: None for c in range(0x300, 0x370)}
 
+# Patterns of the text rules and what takes their place, in the order in which they apply.
+INITIALS = ((r"\b(\w)\.(\w)\.(\w)\.?", "$1$2$3"), (r"\b(\w)\.(\w)\b\.?", "$1$2"))
+PUNCTUATION = (("&", " & "), ("['’`´]", ""), (r"[^\w&\s]", " "), ("_", " "))
+BLANKS = (r"\s+", " ")
+MESSRS = (r"^\s*m\s*/\s*s\b\.?", " ")
+ADDRESS_CODES = (
+    (r"\b(pin|pincode|pin code|zip|zipcode|postal code|cp)\s*[:\-]?\s*(\d{3})\s+(\d{3})\b", "$1 $2$3"),
+    (r"(\d{5})-(\d{4})\b", "$1"),
+    ("#", " number "),
+)
+LETTER_DIGIT = (r"(\p{L})(\d)", "$1 $2")
+
 
 def clean(text: str | None) -> str:
     """Compatibility forms, lower case, without combining accents; null is empty."""
@@ -37,12 +49,12 @@ def replaced(c: Column, *rules: tuple[str, str]) -> Column:
 
 def join_initials(c: Column) -> Column:
     """``s.a.s.`` to ``sas``: three single characters between dots, then two."""
-    return replaced(c, (r"\b(\w)\.(\w)\.(\w)\.?", "$1$2$3"), (r"\b(\w)\.(\w)\b\.?", "$1$2"))
+    return replaced(c, *INITIALS)
 
 
 def spaced(c: Column) -> Column:
     """Punctuation to single spaces; ampersands stand alone, apostrophes go."""
-    return F.trim(replaced(c, ("&", " & "), ("['’`´]", ""), (r"[^\w&\s]", " "), ("_", " "), (r"\s+", " ")))
+    return F.trim(replaced(c, *PUNCTUATION, BLANKS))
 
 
 def word_map(words: dict[str, str]) -> Column:
@@ -52,21 +64,15 @@ def word_map(words: dict[str, str]) -> Column:
 def mapped(c: Column, words: dict[str, str]) -> Column:
     """Each word replaced by the table's, if it has one."""
     table = word_map(words)
-    return F.trim(replaced(F.array_join(F.transform(F.split(c, " "), lambda w: F.coalesce(F.try_element_at(table, w), w)), " "), (r"\s+", " ")))
+    return F.trim(replaced(F.array_join(F.transform(F.split(c, " "), lambda w: F.coalesce(F.try_element_at(table, w), w)), " "), BLANKS))
 
 
 def normalized_name(cleaned: Column) -> Column:
-    return mapped(spaced(replaced(join_initials(cleaned), (r"^\s*m\s*/\s*s\b\.?", " "))), NAME_WORDS)
+    return mapped(spaced(replaced(join_initials(cleaned), MESSRS)), NAME_WORDS)
 
 
 def normalized_address(cleaned: Column) -> Column:
-    c = replaced(
-        join_initials(cleaned),
-        (r"\b(pin|pincode|pin code|zip|zipcode|postal code|cp)\s*[:\-]?\s*(\d{3})\s+(\d{3})\b", "$1 $2$3"),
-        (r"(\d{5})-(\d{4})\b", "$1"),
-        ("#", " number "),
-    )
-    return mapped(replaced(spaced(c), (r"(\p{L})(\d)", "$1 $2")), ADDRESS_WORDS)
+    return mapped(replaced(spaced(replaced(join_initials(cleaned), *ADDRESS_CODES)), LETTER_DIGIT), ADDRESS_WORDS)
 
 
 def normalized_country(cleaned: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..config import FUZZY_BIT, FUZZY_WEIGHT, STRATEGIES, Blocking
+from ..config import FUZZY_BIT, FUZZY_WEIGHT, QUICK_FULL_SCORE, QUICK_WEIGHTS, STRATEGIES, Blocking
 from ..functions import tfidf
 from ..functions.similarity import similarities, similarity_fields
 from . import blocking
@@ -45,10 +45,11 @@ def quick_scores(pairs: DataFrame, records: DataFrame, candidates: DataFrame) ->
     def equal(column: str) -> Column:
         return F.coalesce((F.col(f"a_{column}") == F.col(f"b_{column}")).cast("double"), F.lit(0.0))
 
-    quick = (
-        0.35 * F.col("__s.n_tset") + 0.15 * F.col("__s.n_ratio") + 0.20 * F.col("__s.a_tset") + 0.10 * F.col("__s.a_ratio")
-        + 0.10 * equal("primary_postal") + 0.05 * equal("building_number") + 0.05 * F.least(F.col("score") / 60, F.lit(1.0))
-    )
+    terms = {
+        "name_set": F.col("__s.n_tset"), "name_ratio": F.col("__s.n_ratio"), "address_set": F.col("__s.a_tset"), "address_ratio": F.col("__s.a_ratio"),
+        "postal": equal("primary_postal"), "building": equal("building_number"), "score": F.least(F.col("score") / QUICK_FULL_SCORE, F.lit(1.0)),
+    }
+    quick = sum((F.lit(weight) * terms[name] for name, weight in QUICK_WEIGHTS.items()), F.lit(0.0))
     return p.withColumn("quick", quick).select(*pairs.columns, "quick")
 
 

@@ -143,6 +143,12 @@ def cand_recall(spark, d):
     return _rounded(candidates.recall(views.strategy_pairs(spark, d), views.truth(spark, d)), "recall")
 
 
+@query
+def cand_recall_capped(spark, d):
+    """Recall of what is left after both caps."""
+    return _rounded(candidates.recall(candidates.generate(views.normalized(spark, d), Blocking()), views.truth(spark, d)), "recall")
+
+
 @query
 def cand_reduction(spark, d):
     records, others = candidates.sides(views.entities(spark, d))
