@@ -205,7 +205,7 @@ QUERIES["feat_acronym"] = _features(lambda: {"name_acronym_match": features.acro
 @query
 def feat_group_context(spark, d):
     """Group features with the score's probability in place of the similarities."""
-    core = views.normalized(spark, d).select(F.col("entity_id").alias("cand_id"), F.col("name_core").alias("b_name_core"))
+    core = views.normalized(spark, d).select(F.col("entity_id").alias("cand_id"), F.sha2("name_core", 256).alias("b_name_core"))  # told apart by digests: names don't travel with pairs
     pairs = views.scored_pairs(spark, d).join(core, "cand_id").withColumns({"name_jw": F.col("p"), "na_combined": F.col("p"), "blk_quick": F.col("p"), "core_exact": F.col("label")})
     names = "grp_n_cands grp_n_cands_src name_jw_rank name_jw_gap na_rank na_gap quick_gap grp_same_name grp_n_core_exact".split()
     return _rounded(features.group_features(pairs), "name_jw_gap", "na_gap", "quick_gap").select("s1_id", "cand_id", *names)
