@@ -7,6 +7,7 @@
    times running, single letters set apart) becomes a lattice: each run of a symbol may stand for one of
    several letters, for one or two of them, or for nothing, at a channel cost. Viterbi finds
    the cheapest path under the language model.
+   Arrow splits a batch's texts; each distinct token is read once, whatever its number.
 3. From labelled rows, word beginnings that tell toxic from clean are chosen; copies of one
    document count once. A logistic regression over a text's hits gives the score.
 
@@ -16,13 +17,15 @@ model and the scores cover every row and whole texts.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,8 +41,11 @@ _SEPARATORS = re.compile(r"[.,;:\-_/~·'’]+")
 _EDGE = "!$*.,;:?%#&()[]{}<>\"'’`´-_~+=|/\\·¡¿«»…"
 _PLAIN_EDGE = "".join(c for c in _EDGE if c not in LEET)
 _RUN3 = re.compile(r"(.)\1\1")
+_TRIPLE = "|".join(chr(c) * 3 for c in (*range(97, 123), *range(0xDF, 0xF7), *range(0xF8, 0x100)))
 _RUN2 = re.compile(r"(.)\1+")
 _SYMBOL = re.compile("[" + re.escape("".join(LEET)) + "]")
+#: What a piece of a word can end in.
+_OPEN_END = r"[\pL\pN" + re.escape("".join(c for c in LEET if not c.isdigit())) + "]$"
 #: Lengths of word beginnings, and how often a text must hold one at least.
 LENGTHS, TIMES = range(3, 10), (1, 2, 3, 4)
 _CLASSES = 64
@@ -93,20 +99,11 @@ class CharModel:
         costs = self.costs
         states: dict[tuple[int, int], tuple[float, tuple | None]] = {(_BOUNDARY, _BOUNDARY): (0.0, None)}
         for c, n in _runs(word):
-            options: list[tuple[str, float]] = []
-            letters = LEET.get(c, "")
-            if not letters or c.isdigit():
-                options.append((c, 0.0 if not letters else 6.0))
-            for letter in letters or "":
-                options.append((letter, 1.0))
-            if letters and not c.isdigit():
-                options.append(("", 7.0))
-            if n > 1:
-                options = [(o, k + (0.5 if n > 2 else 3.0)) for o, k in options] + [(o * 2, k + (1.5 if n > 2 else 0.0)) for o, k in options if o]
+            options = channel(c, n)
             nxt: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (cost, path) in states.items():
-                for out, channel in options:
-                    x, y, total, trail = a, b, cost + channel, path
+                for out, own in options:
+                    x, y, total, trail = a, b, cost + own, path
                     for letter in out:
                         z = int(_CLASS[min(ord(letter), 256)])
                         total += float(costs[x, y, z])
@@ -122,6 +119,19 @@ class CharModel:
         return "".join(reversed(letters))
 
 
+def channel(c: str, n: int) -> list[tuple[str, float]]:
+    """What a run of ``n`` symbols ``c`` may stand for, and the cost of each."""
+    letters = LEET.get(c, "")
+    options = [(letter, 1.0) for letter in letters]
+    if not letters or c.isdigit():
+        options.append((c, 0.0 if not letters else 6.0))
+    else:
+        options.append(("", 7.0))
+    if n > 1:
+        options = [(o, k + (0.5 if n > 2 else 3.0)) for o, k in options] + [(o * 2, k + (1.5 if n > 2 else 0.0)) for o, k in options if o]
+    return options
+
+
 def _runs(word: str) -> Iterator[tuple[str, int]]:
     at = 0
     while at < len(word):
@@ -133,10 +143,10 @@ def _runs(word: str) -> Iterator[tuple[str, int]]:
 
 
 class Restorer:
-    """Restored words of a text; a token's reading is kept, ``cache`` of them at most."""
+    """Readings of tokens, and of letters set apart."""
 
-    def __init__(self, model: CharModel, cache: int = 200_000) -> None:
-        self.model, self.cache, self.known = model, cache, {}
+    def __init__(self, model: CharModel) -> None:
+        self.model = model
 
     def token(self, token: str) -> tuple[tuple[str, ...], ...]:
         """The token's readings, each of one word or more; which of them counts, the stems decide."""
@@ -171,21 +181,56 @@ class Restorer:
                 out.append(self.model.decode(piece))
         return tuple(out)
 
-    def words(self, text: str) -> tuple[Counter, list[str]]:
-        """Counts of the tokens' readings, and restored stretches of letters set apart by spaces."""
-        tokens = text.lower().split()
-        if len(self.known) > self.cache:
-            self.known.clear()
-        counts: Counter = Counter()
-        for token, n in Counter(tokens).items():
-            readings = self.known.get(token)
-            if readings is None:
-                readings = self.known[token] = self.token(token)
-            if readings:
-                counts[readings] += n
-        apart = "".join([t if len(t) == 1 else " " for t in tokens]).split()
-        return counts, [self.model.decode(x) for x in ("".join(c for c in run if c.isalpha() or c in LEET) for run in apart if len(run) > 3) if len(set(x)) > 2]
+    def spaced(self, tokens: Tokens) -> Iterator[tuple[int, str]]:
+        """(text's number, restored run) of single letters and symbols that blanks set apart."""
+        for at, run in tokens.single_runs():
+            run = "".join(c for c in run if c.isalpha() or c in LEET)
+            if len(set(run)) > 1 and len(run) > 2:
+                yield at, self.model.decode(run)
+
+
+class Tokens:
+    """The lower-case tokens of a batch of texts: distinct ``words``, the ``codes`` of all, and where each text begins and ends."""
+
+    def __init__(self, texts: pa.Array) -> None:
+        lists = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
+        numbered = lists.flatten().dictionary_encode()
+        self.distinct: pa.Array = numbered.dictionary
+        self.words: list[str] = self.distinct.to_pylist()
+        codes, offsets = numbered.indices.to_numpy(), lists.offsets.to_numpy()
+        bounds = (offsets - offsets[0]).astype(np.int64)
+        if "" in self.words:  # what stands before leading and after trailing blanks
+            real = codes != self.words.index("")
+            bounds = np.r_[0, np.cumsum(real)][bounds]
+            codes = codes[real]
+        self.codes, self.bounds = codes, bounds
+
+    def text_of(self, at: np.ndarray) -> np.ndarray:
+        """The number of the text that each place is in."""
+        return np.searchsorted(self.bounds, at, "right") - 1
+
+    def linked(self) -> np.ndarray:
+        """Whether the token after a place is in the same text."""
+        out = np.ones(len(self.codes), bool)
+        ends = self.bounds[1:]
+        out[ends[ends > 0] - 1] = False
+        return out
+
+    def single_runs(self) -> Iterator[tuple[int, str]]:
+        """(text's number, letters) of three or more tokens of one character in a row."""
+        single = np.fromiter((len(w) == 1 for w in self.words), bool, len(self.words))[self.codes]
+        both = np.flatnonzero(single[:-1] & single[1:] & self.linked()[:-1])
+        if not len(both):
+            return
+        cuts = np.flatnonzero(np.diff(both) > 1) + 1
+        for part in np.split(both, cuts):
+            if len(part) > 1:
+                yield int(self.text_of(part[:1])[0]), "".join(self.words[c] for c in self.codes[part[0] : part[-1] + 2].tolist())
 
+    def plain(self) -> tuple[pa.Array, np.ndarray]:
+        """The distinct words without marks at their edges, and which of them are letters, none three times running: those read as they are."""
+        bare = pc.utf8_trim(self.distinct, characters=_PLAIN_EDGE)
+        return bare, pc.and_not(pc.utf8_is_alpha(bare), pc.match_substring_regex(bare, _TRIPLE)).to_numpy(zero_copy_only=False)
 
 
 def beginnings(word: str) -> list[str]:
@@ -216,38 +261,106 @@ class Lexicon:
     Stems in ``closed`` aren't looked for in words split by blanks, as usual words make them there.
     """
 
+    #: Tokens whose stems are kept, and those whose pieces are.
+    CACHE = 200_000
+
     def __init__(self, signs: list[tuple[str, int, float]], weights: tuple[float, ...], closed: frozenset[str] = frozenset()) -> None:
         self.signs, self.weights = signs, weights
         self.stems = {stem for stem, _, _ in signs}
         self.split = [(s.translate(_FOLD), s, re.compile(r"(?<![^\W\d_])" + r"\s*".join(map(_letter, s)))) for s in sorted(self.stems - closed)]
-
-    def across(self, text: str) -> Counter:
-        """How often stems are in a text as a word's beginning with blanks inside it."""
-        lower = text.lower()
-        squeezed = "".join(lower.translate(_FOLD).split())
-        out: Counter = Counter()
-        for folded, stem, pattern in self.split:
-            if ("*" in squeezed or folded in squeezed) and (n := sum(any(c.isspace() for c in m) for m in pattern.findall(lower))):
-                out[stem] = n
+        # Plain words that may have a stem, letters doubled or not.
+        self.maybe = "^(?:" + "|".join("".join(re.escape(c) + "+" for c in stem) for stem in sorted(self.stems)) + ")" if self.stems else None
+        # Which pieces of split stems a token may be; 64 bits for all (stem, letters so far), so that some share one.
+        self.heads: dict[str, int] = {}
+        self.middles: dict[str, int] = {}
+        self.tails: dict[str, int] = {}
+        state = itertools.count()
+        for folded, _, _ in self.split:
+            for k in range(1, len(folded)):
+                bit = 1 << next(state) % 64
+                self.heads[folded[:k]] = self.heads.get(folded[:k], 0) | bit
+                self.tails[folded[k:]] = self.tails.get(folded[k:], 0) | bit
+                for end in range(k + 1, len(folded)):
+                    self.middles[folded[k:end]] = self.middles.get(folded[k:end], 0) | bit
+        self.longest = max((len(f) for f, _, _ in self.split), default=0)
+
+    def leads(self, token: str) -> int:
+        """Bits of the states that a token's end may lead to."""
+        if "*" in token:  # any vowel
+            return (1 << 64) - 1
+        folded, heads = token.translate(_FOLD), 0
+        for at in (0,) if token.isalpha() else (i for i in range(max(0, len(folded) - self.longest), len(folded)) if i == 0 or not token[i - 1].isalpha()):
+            heads |= self.heads.get(folded[at:], 0)
+        return heads
+
+    def follows(self, token: str) -> int:
+        """Bits of the states that a token's beginning may go on from."""
+        if "*" in token:
+            return (1 << 64) - 1
+        folded = token.translate(_FOLD)
+        out = self.middles.get(folded, 0)
+        for k in range(1, min(len(folded), self.longest) + 1):
+            out |= self.tails.get(folded[:k], 0)
         return out
 
-    def features(self, restorer: Restorer, text: str, known: dict[tuple, tuple[tuple[str, int], ...]]) -> tuple[float, float, float]:
-        """Largest log odds of the signs found, their sum, and log of how often stems stand in the text."""
-        counts, apart = restorer.words(text)
-        if len(known) > restorer.cache:
+    def across(self, tokens: Tokens) -> Iterator[tuple[int, str]]:
+        """(text's number, stem) for each word's beginning that is a stem with blanks inside it."""
+        codes, words = tokens.codes, tokens.words
+        if not self.split or len(codes) < 2:
+            return
+        # Plain words are a head whole or not at all; of others only Python knows.
+        folded = pc.utf8_ltrim(tokens.distinct, characters=_PLAIN_EDGE)
+        alpha = pc.utf8_is_alpha(folded).to_numpy(zero_copy_only=False)
+        for letter in ("l", "b"):
+            folded = pc.replace_substring(folded, letter, letter.translate(_FOLD))
+        known = pc.is_in(folded, pa.array(list(self.heads))).to_numpy(zero_copy_only=False)
+        open_end = pc.match_substring_regex(tokens.distinct, _OPEN_END).to_numpy(zero_copy_only=False)
+        maybe = np.flatnonzero(known | (~alpha & open_end))
+        heads = np.zeros(len(words), np.uint64)
+        heads[maybe] = np.fromiter((self.leads(words[i]) for i in maybe.tolist()), np.uint64, len(maybe))
+        at = np.flatnonzero((heads[codes[:-1]] > 0) & tokens.linked()[:-1])
+        after, which = np.unique(codes[at + 1], return_inverse=True)
+        goes_on = np.fromiter((self.follows(words[i]) for i in after.tolist()), np.uint64, len(after))
+        at = at[(heads[codes[at]] & goes_on[which]) != 0]
+        for place, text in zip(at.tolist(), tokens.text_of(at).tolist(), strict=True):
+            here = [words[c] for c in codes[place : min(place + self.longest, int(tokens.bounds[text + 1]))].tolist()]
+            squeezed, joined = "".join(here).translate(_FOLD), " ".join(here)
+            for folded_stem, stem, pattern in self.split:
+                if ("*" in squeezed or folded_stem in squeezed) and any(m.start() < len(here[0]) < m.end() for m in pattern.finditer(joined)):
+                    yield text, stem
+
+    def features(self, restorer: Restorer, texts: pa.Array, known: dict[str, tuple]) -> np.ndarray:
+        """For each text: largest log odds of the signs found, their sum, and log of how often stems stand in it."""
+        out, found = np.zeros((len(texts), 3)), defaultdict(Counter)
+        tokens = Tokens(texts)
+        if not self.stems or not len(tokens.codes):
+            return out
+        if len(known) > self.CACHE:
             known.clear()
-        found: Counter = Counter()
-        for readings, n in counts.items():
-            stems = known.get(readings)
-            if stems is None:
-                stems = known[readings] = tuple(merged(readings, lambda w: self._stems(restorer.model, w)).items())
-            for stem, times in stems:
-                found[stem] += n * times
-        found += Counter(s for run in apart for s in self.stems if s in run) | self.across(text)
-        if not found:
-            return 0.0, 0.0, 0.0
-        odds = [(w, found[s]) for s, times, w in self.signs if found[s] >= times]
-        return max((w for w, _ in odds), default=0.0), sum(w for w, _ in odds), math.log1p(sum(n for _, n in odds))
+        bare, plain = tokens.plain()
+        look = np.flatnonzero(~plain | pc.match_substring_regex(bare, self.maybe).to_numpy(zero_copy_only=False))
+        held: dict[int, tuple] = {}
+        for code in look.tolist():
+            word = tokens.words[code]
+            have = known.get(word)
+            if have is None:
+                have = known[word] = tuple(merged(restorer.token(word), lambda w: self._stems(restorer.model, w)).items())
+            if have:
+                held[code] = have
+        hit = np.zeros(len(tokens.words), bool)
+        hit[list(held)] = True
+        at = np.flatnonzero(hit[tokens.codes])
+        for text, code in zip(tokens.text_of(at).tolist(), tokens.codes[at].tolist(), strict=True):
+            for stem, times in held[code]:
+                found[text][stem] += times
+        for text, run in restorer.spaced(tokens):
+            found[text].update(s for s in self.stems if (s in run if len(run) > 3 else run.startswith(s)))
+        for text, stem in self.across(tokens):
+            found[text][stem] += 1
+        for text, counts in found.items():
+            odds = [(w, counts[s]) for s, times, w in self.signs if counts[s] >= times]
+            out[text] = max((w for w, _ in odds), default=0.0), sum(w for w, _ in odds), math.log1p(sum(n for _, n in odds))
+        return out
 
     def _stems(self, model: CharModel, word: str) -> tuple[str, ...]:
         hits = tuple(b for b in beginnings(word) if b in self.stems)
@@ -259,9 +372,8 @@ class Lexicon:
             return tuple(b for b in beginnings(model.decode(word)) if b in self.stems)
         return ()
 
-    def score(self, features: tuple[float, ...]) -> float:
-        z = self.weights[0] + sum(w * x for w, x in zip(self.weights[1:], features, strict=True))
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+    def scores(self, features: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.weights[0] + features @ np.array(self.weights[1:]), -30, 30)))
 
 
 def least_shingle(text: str) -> int:
@@ -308,7 +420,10 @@ def choose_signs(found: list[tuple[str, int, int, int]], toxic_docs: int, clean_
 
 
 def fit_char_model(docs: DataFrame, text_col: str = "text") -> CharModel:
-    """The character model of every text; counts are added up in each task, then by trigram."""
+    """The character model of every text; counts are added up in each task, then by trigram.
+
+    Null texts count for nothing, repeated rows once each; of an empty table every trigram is as likely. Only the text is read.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(_CLASSES**3, np.int64)
@@ -323,10 +438,64 @@ def fit_char_model(docs: DataFrame, text_col: str = "text") -> CharModel:
     return CharModel(counts)
 
 
+_SIGN = pa.schema([("stem", pa.string()), ("times", pa.int32()), ("doc", pa.int64()), ("clean", pa.int64())])
+
+
+def _signs_of(restorer: Restorer, batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Word beginnings and how often texts have them at least: a row for each toxic text and sign, clean texts added up.
+
+    Copies of a toxic text share their least shingle's hash, and so count once.
+    """
+    texts, labels = batch.column("text"), batch.column("label").to_pylist()
+    tokens = Tokens(texts)
+    bare, plain = tokens.plain()
+    numbers: dict[str, int] = {}
+    ids: list[int] = []
+    times: list[int] = []
+    sizes = np.zeros(len(tokens.words), np.int64)
+
+    def hold(found: dict[str, int]) -> int:
+        ids.extend(numbers.setdefault(b, len(numbers)) for b in found)
+        times.extend(found.values())
+        return len(found)
+
+    for code, (word, core, as_is) in enumerate(zip(tokens.words, bare.to_pylist(), plain.tolist(), strict=True)):
+        sizes[code] = hold(dict.fromkeys(beginnings(core), 1) if as_is else merged(restorer.token(word), beginnings))
+    apart = defaultdict(list)
+    for k, run in restorer.spaced(tokens):
+        apart[k].append(beginnings(run))
+    flat, weight, starts = np.array(ids, np.int64), np.array(times, np.int64), np.cumsum(sizes) - sizes
+    toxic: list[tuple[list[int], np.ndarray, int]] = []
+    clean: list[tuple[np.ndarray, np.ndarray]] = []
+    for k, (a, b) in enumerate(itertools.pairwise(tokens.bounds.tolist())):
+        codes, n = np.unique(tokens.codes[a:b], return_counts=True)
+        each = sizes[codes]
+        ends = np.cumsum(each)
+        where = np.repeat(starts[codes] - (ends - each), each) + np.arange(int(ends[-1]) if len(ends) else 0)
+        more = [numbers.setdefault(x, len(numbers)) for run in apart[k] for x in run]
+        own = np.concatenate([flat[where], np.array(more, np.int64)])
+        stems, at = np.unique(own, return_inverse=True)
+        counts = np.bincount(at, weights=np.concatenate([weight[where] * np.repeat(n, each), np.ones(len(more))]), minlength=len(stems)) if len(stems) else np.zeros(0)
+        if labels[k]:
+            toxic.append((stems.tolist(), counts, least_shingle(texts[k].as_py() or "")))
+        else:
+            clean.append((stems, counts))
+    names, rows = list(numbers), []
+    for stems, counts, key in toxic:
+        rows += [(names[b], t, key, 0) for b, n in zip(stems, counts.tolist(), strict=True) for t in TIMES if t <= n]
+    if clean:
+        stems, counts = (np.concatenate(x) for x in zip(*clean, strict=True))
+        for t in TIMES:
+            total = np.bincount(stems[counts >= t], minlength=len(names))
+            rows += [(names[b], t, None, int(total[b])) for b in np.flatnonzero(total).tolist()]
+    return common.batch_of(_SIGN, *zip(*rows, strict=True)) if rows else common.batch_of(_SIGN, [], [], [], [])
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_train: int = 20_000, least: int = 5, share: float = 0.01, odds: float = 3.0) -> tuple[CharModel, Lexicon]:
     """Character model over all ``docs``; lexicon and weights from at most ``max_train`` labelled rows.
 
-    ``labels`` must hold only rows to learn from; null labels and ids are left out. Without
+    ``labels`` must hold only rows to learn from; null labels and ids are left out, null texts are empty; an id's
+    repeated rows are one example. Without
     both kinds of labels the score is the toxic share of them (0 without any).
     """
     spark = docs.sparkSession
@@ -335,30 +504,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     train = train.orderBy(F.xxhash64("id"), "id").limit(max_train)
     # At most max_train rows of 16 bytes are broadcast.
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(common.saved(train, "train")), "id")
+    # An id's repeated rows are one example, the text with the least hash, so the sample is bounded in rows, too.
+    texts = texts.groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     texts = common.saved(texts, "train-texts").repartition(max(8, spark.sparkContext.defaultParallelism))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model)
-        for labels_, texts_ in common.columns_of(batches, "label", "text"):
-            toxic: list[tuple[str, int, int]] = []  # copies share their least shingle's hash, and so count once
-            clean: Counter = Counter()
-            for label, text in zip(labels_, texts_, strict=True):
-                counts, apart = restorer.words(text or "")
-                found: Counter = Counter()
-                for readings, n in [*counts.items(), *((((w,),), 1) for w in apart)]:
-                    if len(readings) == 1 == len(readings[0]):
-                        for b in beginnings(readings[0][0]):
-                            found[b] += n
-                    else:
-                        for b, times in merged(readings, beginnings).items():
-                            found[b] += n * times
-                signs = [(b, t) for b, n in found.items() for t in TIMES if t <= n]
-                if label:
-                    key = least_shingle(text or "")
-                    toxic += [(b, t, key) for b, t in signs]
-                else:
-                    clean.update(signs)
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in toxic] + [b for b, _ in clean], pa.string()), pa.array([x[1] for x in toxic] + [t for _, t in clean], pa.int32()), pa.array([x[2] for x in toxic] + [None] * len(clean), pa.int64()), pa.array([0] * len(toxic) + [*clean.values()], pa.int64())], names=["stem", "times", "doc", "clean"])
+        for batch in batches:
+            yield _signs_of(restorer, batch)
 
     kinds = {r["label"]: r["n"] for r in texts.select("id", "label").distinct().groupBy("label").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = sum(n for k, n in kinds.items() if k), kinds.get(0, 0)
@@ -381,9 +534,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def _across(lexicon: Lexicon):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for labels, texts in common.columns_of(batches, "label", "text"):
-            rows = [(stem, label) for label, text in zip(labels, texts, strict=True) for stem in lexicon.across(text or "")]
-            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in rows], pa.string()), pa.array([x for _, x in rows], pa.int32())], names=["stem", "label"])
+        for batch in batches:
+            tokens, labels = Tokens(batch.column("text")), batch.column("label").to_pylist()
+            rows = sorted(set(lexicon.across(tokens)))
+            yield pa.RecordBatch.from_arrays([pa.array([s for _, s in rows], pa.string()), pa.array([labels[k] for k, _ in rows], pa.int32())], names=["stem", "label"])
 
     return run
 
@@ -391,23 +545,29 @@ def _across(lexicon: Lexicon):
 def _features(model: CharModel, lexicon: Lexicon):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer, known = Restorer(model), {}
-        for labels, texts in common.columns_of(batches, "label", "text"):
-            found = [lexicon.features(restorer, t or "", known) for t in texts]
-            yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), *(pa.array([f[i] for f in found], pa.float64()) for i in range(3))], names=["label", "most", "total", "times"])
+        for batch in batches:
+            found = lexicon.features(restorer, batch.column("text"), known)
+            yield pa.RecordBatch.from_arrays([batch.column("label"), *(pa.array(np.ascontiguousarray(found[:, i])) for i in range(3))], names=["label", "most", "total", "times"])
 
     return run
 
 
 def add_scores(docs: DataFrame, model: CharModel, lexicon: Lexicon, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """``docs`` with a score from 0 to 1 for each whole text; null text counts as empty."""
+    """``docs`` with a score from 0 to 1 for each whole text.
+
+    Null text counts as empty; repeated rows give a row each, an empty table none. ``score_col`` must not be a column
+    of ``docs`` (an error otherwise); its other columns stay as they are.
+    """
+    if score_col.lower() in (c.lower() for c in docs.columns):
+        raise ValueError(f"docs has a column {score_col} already")
     names, schema = docs.columns, docs.select("*", F.lit(0.0).alias(score_col)).schema
     at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer, known = Restorer(model), {}
         for batch in batches:
-            scores = [lexicon.score(lexicon.features(restorer, t or "", known)) for t in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, score_col])
+            scores = lexicon.scores(lexicon.features(restorer, batch.column(at).cast(pa.string()), known))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, score_col])
 
     return docs.mapInArrow(run, schema)
 
@@ -430,12 +590,17 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, with its own columns only."""
+    """The rows of ``docs`` that score below ``threshold``, with its own columns only.
+
+    Null text counts as empty, null ids and repeated rows are scored like others; columns of any name are
+    kept as they are; an empty table gives no rows.
+    """
     common.tune(docs.sparkSession)
     model, lexicon = fit(docs, learnable(labels, id_col), id_col, text_col)
-    name = "__score"
+    (name,) = common.fresh(docs, "score")
     return add_scores(docs, model, lexicon, text_col, name).where(F.col(name) < threshold).select(*docs.columns)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents, learned from ``labels``. Nulls, repeats and empty tables: see ``score_documents``."""
     return score_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
