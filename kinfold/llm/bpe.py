@@ -1,12 +1,17 @@
 """Byte-level BPE by corpus-level merge replay.
 
-The words of a batch of texts (matches of the split pattern) are numbered once. An inverted index maps
-each token pair to the word positions where it stands. Merges are replayed in rank order: the
-lowest pair in the index is merged wherever it stands, and only the pairs with the merged token's
-neighbours change. Each distinct word is encoded once, however often it occurs; ids of words are kept
-between batches, ``cache`` words at most, so memory doesn't grow with the corpus.
-
-Texts are independent, so the operator is a map over them: no shuffle, no skew.
+1. Every chunk of texts (an Arrow batch) sends its distinct words (matches of the split pattern) to parts by their hash.
+2. A part has all chunks' words of its hashes; each distinct one is encoded once. The words are numbered. An inverted index maps
+   each token pair to the word positions where it stands. Merges are replayed in rank order: the
+   lowest pair in the index is merged wherever it stands, and only the pairs with the merged token's
+   neighbours change.
+3. The ids go back to the chunks, in the order of the words sent, and become a file each in the shared folder. No task and not the
+   driver ever holds the corpus' vocabulary.
+4. Each chunk's texts are split again and find their words' ids in its file. A chunk is known by its content; one that has no file
+   (its rows came in other batches than before) replays merges over its own words, with the same result.
+
+Only distinct words travel, texts don't. A word in every chunk arrives once a chunk; parts are split by groups of chunks
+beyond ``GROUPED`` bytes of text, so that a part's size doesn't grow with the corpus.
 """
 
 from __future__ import annotations
@@ -15,19 +20,27 @@ import base64
 import hashlib
 import heapq
 import itertools
+import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.fs as pafs
 import regex
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
-#: Texts that are numbered together.
-TEXTS = 2048
+#: Bytes of text to a part of the vocabulary, and those beyond which chunks are dealt to groups with parts of their own.
+PART, GROUPED = 32 << 20, 24 << 30
+_SENT = pa.schema([("part", pa.int64()), ("chunk", pa.binary()), ("words", pa.binary())])
+_BACK = pa.schema([("chunk", pa.binary()), ("part", pa.int64()), ("ids", pa.binary())])
+_FILE = pa.schema([("part", pa.int64()), ("ids", pa.binary())])
 _OUT_DDL = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -69,7 +82,7 @@ class MergeReplay:
         todo = [k for k, found in enumerate(out) if found is None]
         if not todo:
             return out
-        if len(self.pairs) > 2_000_000:
+        if len(self.pairs) > 300_000:
             self.pairs.clear()
         sizes = np.fromiter((len(words[k]) for k in todo), np.int64, len(todo))
         ends = np.cumsum(sizes)
@@ -149,41 +162,182 @@ class _Numbering(dict):
         return number
 
 
-class TextCodec:
-    """Whole texts to ids, by distinct words; and back."""
-
-    def __init__(self, ranks: dict[bytes, int], pattern: str, cache: int = 250_000) -> None:
-        self.replay, self.pattern, self.cache = MergeReplay(ranks), regex.compile(pattern), cache
-        self._forget()
-
-    def _forget(self) -> None:
-        self.numbers, self.ids = _Numbering(), []  # of a word; by number: its ids,
-        self.decimals: list[str] = []  # those as text,
-        self.bytes: list[bytes] = []  # and what they decode to
-
-    def number(self, texts: list[str]) -> list[list[int]]:
-        """Each text's words by number; new words are encoded together."""
-        if len(self.numbers) > self.cache:
-            self._forget()
-        find, number = self.pattern.findall, self.numbers.__getitem__
-        out = [list(map(number, find(t))) for t in texts]
-        new = list(itertools.islice(self.numbers, len(self.ids), None))
-        found = self.replay.encode([w.encode("utf-8", "replace") for w in new])
-        self.ids += found
-        self.decimals += [" ".join(map(str, ids)) for ids in found]
-        self.bytes += map(self.replay.decode, found)
-        return out
+@lru_cache(maxsize=1)
+def _replay(path: str) -> MergeReplay:
+    """One table for a worker, however many groups it works on."""
+    return MergeReplay(load_ranks(path))
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [list(itertools.chain.from_iterable(map(self.ids.__getitem__, numbers))) for numbers in self.number(texts)]
 
-    def decode(self, ids: list[int]) -> bytes:
-        return self.replay.decode(ids)
+class Parts:
+    """Which part of the vocabulary a chunk's word belongs to; ``text_bytes`` of the whole corpus."""
+
+    def __init__(self, text_bytes: int) -> None:
+        self.groups = max(1, -(-text_bytes // GROUPED))
+        self.buckets = max(8, -(-text_bytes // (PART * self.groups)))
+
+    def of(self, chunk: bytes, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(words' numbers in order of their parts, their parts)."""
+        first = int.from_bytes(chunk[:6], "big") % self.groups * self.buckets
+        parts = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) % np.uint64(self.buckets)
+        order = np.argsort(parts, kind="stable")
+        return order, parts[order].astype(np.int64) + first
+
+
+class Chunk:
+    """The distinct words of some texts, where each text has them, and the name that the texts' content gives them.
+
+    A blank between two characters that aren't white space ends a match of the pattern and begins the next one. So texts are cut
+    there by Arrow, and the pattern is only matched against the distinct pieces, all in one text; texts with other blanks are matched whole.
+    """
+
+    def __init__(self, texts: pa.Array, pattern) -> None:
+        texts, name = pc.fill_null(texts, ""), xxhash.xxh3_128()
+        for data in texts.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist():
+            name.update(b"%d " % len(data))
+            name.update(data)
+        lists = pc.split_pattern(texts, " ")
+        numbered = lists.flatten().dictionary_encode()
+        pieces, codes, offsets = numbered.dictionary.to_numpy(zero_copy_only=False).tolist(), numbered.indices.to_numpy(), lists.offsets.to_numpy()
+        bounds = (offsets - offsets[0]).astype(np.int64)
+        bare = pc.utf8_trim_whitespace(numbered.dictionary)
+        odd = pc.or_(pc.not_equal(bare, numbered.dictionary), pc.equal(bare, "")).to_numpy(zero_copy_only=False)[codes]
+        odd_before = np.r_[0, np.cumsum(odd)]
+        whole = odd_before[bounds[1:]] > odd_before[bounds[:-1]]
+        inner = np.repeat(~whole, np.diff(bounds))
+        inner[bounds[:-1]] = False  # every text has a first piece
+        used = np.zeros(len(pieces), bool)
+        used[codes[inner]] = True
+        self.bounds, self.whole, self.codes = bounds.tolist(), whole.tolist(), codes.tolist()
+        numbers, find = _Numbering(), pattern.findall
+        number = numbers.__getitem__
+        #: Words of each piece after a blank; of each text that is matched whole, else of its first piece.
+        places = np.flatnonzero(used).tolist()
+        held = [" " + pieces[i] for i in places]
+        matches = find("".join(held))
+        ends = np.cumsum(np.fromiter(map(len, matches), np.int64, len(matches)))
+        cuts = np.searchsorted(ends, np.cumsum(np.fromiter(map(len, held), np.int64, len(held))), "right").tolist()
+        words = list(map(number, matches))
+        self.pieces: list[list[int]] = [[]] * len(pieces)
+        for i, a, b in zip(places, [0, *cuts], cuts, strict=False):
+            self.pieces[i] = words[a:b]
+        self.starts = [list(map(number, find(texts[k].as_py() if w else pieces[self.codes[at]]))) for k, (w, at) in enumerate(zip(self.whole, self.bounds, strict=False))]
+        self.words, self.name = [w.encode("utf-8", "replace") for w in numbers], name.digest()
+
+    def each(self, of_words: list, joined) -> Iterator:
+        """For each text, its words' values: ``joined`` joins those of a piece first, then a text's."""
+        pieces = [joined([of_words[w] for w in x]) if len(x) != 1 else of_words[x[0]] for x in self.pieces]
+        for k, (a, b) in enumerate(itertools.pairwise(self.bounds)):
+            start = joined([of_words[w] for w in self.starts[k]])
+            yield start if self.whole[k] else joined([start, *[pieces[c] for c in self.codes[a + 1 : b]]])
+
+
+def _pieces(lengths: np.ndarray) -> np.ndarray:
+    return np.r_[0, np.cumsum(lengths, dtype=np.int64)]
+
+
+def _packed(items: list[bytes]) -> bytes:
+    """A count, lengths and bytes of some items."""
+    return len(items).to_bytes(4, "little") + np.fromiter(map(len, items), "<u4", len(items)).tobytes() + b"".join(items)
+
+
+def _unpacked(blob: bytes) -> list[bytes]:
+    n = int.from_bytes(blob[:4], "little")
+    cuts = (_pieces(np.frombuffer(blob, "<u4", n, 4)) + 4 + 4 * n).tolist()
+    return [blob[a:b] for a, b in itertools.pairwise(cuts)]
+
+
+def _packed_ids(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> bytes:
+    """The ids of words, each ``sizes`` of them from ``starts`` on in ``flat``: a count, sizes and ids."""
+    ends = np.cumsum(sizes)
+    where = np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
+    return len(sizes).to_bytes(4, "little") + sizes.astype("<u4").tobytes() + flat[where].astype("<u4").tobytes()
+
+
+def _unpacked_ids(blob: bytes) -> list[list[int]]:
+    n = int.from_bytes(blob[:4], "little")
+    cuts, ids = _pieces(np.frombuffer(blob, "<u4", n, 4)).tolist(), np.frombuffer(blob, "<u4", -1, 4 + 4 * n).tolist()
+    return [ids[a:b] for a, b in itertools.pairwise(cuts)]
+
+
+def _send(pattern: str, parts: Parts):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split = regex.compile(pattern)
+        for batch in batches:
+            chunk = Chunk(batch.column("text"), split)
+            order, part = parts.of(chunk.name, chunk.words)
+            cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]).tolist() if len(part) else []
+            rows = [(int(part[a]), chunk.name, _packed([chunk.words[i] for i in order[a:b].tolist()])) for a, b in itertools.pairwise([*cuts, len(part)])]
+            if rows:
+                yield common.batch_of(_SENT, *zip(*rows, strict=True))
+
+    return run
+
+
+def _encode_part(ranks_path: str):
+    def run(table: pa.Table) -> pa.Table:
+        """One part's words of all chunks: each distinct word is encoded once, each chunk gets its own back in its order."""
+        numbers, rows = _Numbering(), []
+        for blob in table.column("words").to_pylist():
+            rows.append(np.fromiter(map(numbers.__getitem__, _unpacked(blob)), np.int64))
+        found = _replay(ranks_path).encode(list(numbers))
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(itertools.chain.from_iterable(found), np.int64, int(sizes.sum()))
+        starts = np.cumsum(sizes) - sizes
+        return pa.table([table.column("chunk").combine_chunks(), table.column("part").combine_chunks(), pa.array([_packed_ids(flat, starts[r], sizes[r]) for r in rows], pa.binary())], schema=_BACK)
+
+    return run
+
+
+def _file_of(folder: str, chunk: bytes) -> str:
+    name = chunk.hex()
+    return f"{folder}/{name[:2]}/{name}.arrow"
+
+
+def _keep_file(folder: str):
+    def run(table: pa.Table) -> pa.Table:
+        """One chunk's ids as a file; it appears at once and whole, so a lost or repeated attempt does no harm."""
+        chunk = table.column("chunk")[0].as_py()
+        rows = {p: ids for p, ids in zip(table.column("part").to_pylist(), table.column("ids").to_pylist(), strict=True)}
+        fs, path = pafs.FileSystem.from_uri(_file_of(folder, chunk))
+        fs.create_dir(path.rpartition("/")[0], recursive=True)
+        own = f"{path}.{uuid.uuid4().hex}"
+        with fs.open_output_stream(own) as sink, pa.ipc.new_stream(sink, _FILE, options=pa.ipc.IpcWriteOptions(compression="lz4")) as writer:
+            writer.write_batch(common.batch_of(_FILE, list(rows), list(rows.values())))
+        fs.move(own, path)
+        return pa.table([pa.array([chunk], pa.binary())], names=["chunk"])
+
+    return run
+
+
+class Vocabulary:
+    """Ids of a chunk's words, from its file; without one, by a replay over them."""
+
+    def __init__(self, folder: str | None, ranks_path: str, parts: Parts) -> None:
+        self.folder, self.path, self.parts = folder, ranks_path, parts
+
+    def ids(self, chunk: Chunk) -> list[list[int]]:
+        if self.folder is not None and chunk.words:
+            fs, path = pafs.FileSystem.from_uri(_file_of(self.folder, chunk.name))
+            if fs.get_file_info(path).type == pafs.FileType.File:
+                with fs.open_input_stream(path) as source, pa.ipc.open_stream(source) as reader:
+                    table = reader.read_all()
+                held = dict(zip(table.column("part").to_pylist(), table.column("ids").to_pylist(), strict=True))
+                order, part = self.parts.of(chunk.name, chunk.words)
+                out: list[list[int]] = [[]] * len(order)
+                found = itertools.chain.from_iterable(_unpacked_ids(held[p]) for p in dict.fromkeys(part.tolist()))
+                for i, ids in zip(order.tolist(), found, strict=True):
+                    out[i] = ids
+                return out
+        return _replay(self.path).encode(chunk.words)
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, ids. Null and empty texts have no ids; rows keep their order and number."""
-    return _mapped(docs, ranks_path, pattern, id_col, text_col, "doc_id long, ids array<int>", lambda codec, doc_ids, texts: pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(codec.encode(texts), pa.list_(pa.int32()))], names=["doc_id", "ids"]))
+    """One row per document: doc_id, ids. Null and empty texts have no ids; rows keep their number; an empty table gives none."""
+
+    def whole(chunk: Chunk, ids: list[list[int]], doc_ids: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([doc_ids, pa.array(list(chunk.each(ids, lambda x: list(itertools.chain.from_iterable(x)))), pa.list_(pa.int32()))], names=["doc_id", "ids"])
+
+    return _mapped(docs, ranks_path, pattern, id_col, text_col, "doc_id long, ids array<int>", lambda _: whole)
 
 
 def token_digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -193,32 +347,43 @@ def token_digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
     others; an empty table gives none. Other columns are not read.
     """
 
-    def digests(codec: TextCodec, doc_ids: list, texts: list[str]) -> pa.RecordBatch:
-        counts, shas, back = [], [], []
-        rows = codec.number(texts)
-        sizes = np.fromiter(map(len, codec.ids), np.int64, len(codec.ids))
-        for numbers in rows:
-            counts.append(int(sizes[numbers].sum()) if numbers else 0)
-            shas.append(hashlib.sha256(" ".join(map(codec.decimals.__getitem__, numbers)).encode()).hexdigest())
-            back.append(hashlib.sha256(b"".join(map(codec.bytes.__getitem__, numbers))).hexdigest())
-        return common.batch_of(_OUT, doc_ids, counts, shas, back)
+    def digests(replay: MergeReplay):
+        decimal = [str(i) for i in range(len(replay.tokens))]
+
+        def run(chunk: Chunk, ids: list[list[int]], doc_ids: pa.Array) -> pa.RecordBatch:
+            texts, back = [" ".join([decimal[i] for i in word]) for word in ids], [replay.decode(word) for word in ids]
+            counts, shas = [], []
+            for text in chunk.each(texts, " ".join):
+                counts.append(text.count(" ") + 1 if text else 0)
+                shas.append(hashlib.sha256(text.encode()).hexdigest())
+            return common.batch_of(_OUT, doc_ids, counts, shas, [hashlib.sha256(x).hexdigest() for x in chunk.each(back, b"".join)])
+
+        return run
 
     return _mapped(docs, ranks_path, pattern, id_col, text_col, _OUT_DDL, digests)
 
 
-def _mapped(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_col: str, schema: str, make) -> DataFrame:
-    common.tune(docs.sparkSession)
+def _mapped(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_col: str, schema: str, made) -> DataFrame:
+    spark = docs.sparkSession
+    common.tune(spark)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    parts, folder = Parts(common.text_bytes(docs, text_col)), common.scratch(spark, "word-ids")
+    # The id is sent along, so that batches are cut as they will be again.
+    sent = rows.mapInArrow(_send(pattern, parts), "part long, chunk binary, words binary")
+    back = sent.groupBy("part").applyInArrow(_encode_part(ranks_path), "chunk binary, part long, ids binary")
+    common.remove_saved(common.saved(back.groupBy("chunk").applyInArrow(_keep_file(folder), "chunk binary"), "chunks"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = TextCodec(load_ranks(ranks_path), pattern)
-        for doc_ids, texts in common.columns_of(batches, "id", "text"):
-            for at in range(0, len(texts), TEXTS):
-                yield make(codec, doc_ids[at : at + TEXTS], [t or "" for t in texts[at : at + TEXTS]])
+        split, vocabulary, make = regex.compile(pattern), Vocabulary(folder, ranks_path, parts), made(_replay(ranks_path))
+        for batch in batches:
+            chunk = Chunk(batch.column("text"), split)
+            yield make(chunk, vocabulary.ids(chunk), batch.column("id"))
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents. Nulls, repeats and empty tables: see ``token_digests``."""
     import public_tokenizers
 
     return token_digests(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)

@@ -312,10 +312,9 @@ def test_bpe_is_tiktokens(spark):
     theirs = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     rng = random.Random(8)
     texts = ["", "aaaaaaaaaaaaa", "ab" * 300, "the" * 200, "日本語テキスト 🙂🙂", "\x00\x1c \n\n x", "I'll don't", "   ", "<|endoftext|>"] + ["".join(rng.choice("abAB eéß1 \n,.'") for _ in range(rng.randint(1, 200))) for _ in range(500)]
-    codec = bpe.TextCodec(ranks, pattern, cache=50)
-    for at in range(0, len(texts), 100):  # a small cache is emptied between batches
-        for t, ids in zip(texts[at : at + 100], codec.encode(texts[at : at + 100]), strict=True):
-            assert ids == theirs.encode_ordinary(t) and codec.decode(ids) == t.encode()
+    replay = bpe.MergeReplay(ranks)
+    for t in texts:
+        assert replay.decode(theirs.encode_ordinary(t)) == t.encode()
     for r in bpe.token_digests(docs_of(spark, [*enumerate(texts), (9999, None)]), path, pattern).collect():
         t = "" if r["doc_id"] == 9999 else texts[r["doc_id"]]
         ids = theirs.encode_ordinary(t)
