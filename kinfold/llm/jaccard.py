@@ -379,7 +379,7 @@ def _verify(width: int, p: int, q: int):
 #: Pairs held against each other at once, and pairs of which repeats are told before they are.
 _BLOCK, _PAIRS = 1 << 15, 1 << 19
 #: Entries of one family of signatures that one task takes.
-FAMILY = 1 << 16
+FAMILY = 1 << 14
 
 
 def _meet_openly(p: int, q: int):
@@ -465,11 +465,15 @@ def similarity_components(docs: DataFrame, width: int = 5, p: int = 80, q: int =
     members = sets.where("set_hash IS NOT NULL").join(lowest, "set_hash").select("doc_id", "n_shingles", "rep")
     named = sets.where("doc_id IS NOT NULL AND set_hash IS NOT NULL").join(lowest, "set_hash")
     # One row per id: the least of its classes, and what its sketch proves (nothing where an id has several sets).
-    nodes = common.saved(named.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("top"), F.min("n_shingles").alias("n"), (F.min("set_hash") == F.max("set_hash")).alias("single"), *(F.min(c).alias(c) for c in _SKETCH)), "nodes")
+    nodes = common.saved(named.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("top"), F.min("n_shingles").alias("n"), (F.min("set_hash") == F.max("set_hash")).alias("single"), F.count("*").alias("copies"), *(F.min(c).alias(c) for c in _SKETCH)), "nodes")
     again = members.join(nodes.where("rep <> top").select("doc_id", F.col("rep").alias("low")), "doc_id").where("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b"))
     links = [common.saved(again.distinct(), "links")]
     common.remove_saved(lowest)
 
+    # A text that an id repeats is verified once. Mostly no id is in two rows, and all texts are as they are.
+    repeated = nodes.where("copies > 1").select(F.col("doc_id").alias("id"))
+    held = texts if repeated.isEmpty() else texts.join(repeated, "id", "left_anti").union(texts.join(repeated, "id", "left_semi").distinct())
+
     def side(name: str) -> DataFrame:
         return nodes.select(F.col("doc_id").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in ("n", "single", *_SKETCH)))
 
@@ -480,16 +484,11 @@ def similarity_components(docs: DataFrame, width: int = 5, p: int = 80, q: int =
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Links (between least ids of equal sets) of the saved pairs (a, b)."""
-        wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        # An id's repeated texts count once; only texts of pairs are held.
-        held = common.saved(texts.join(wanted, "id", "left_semi").distinct(), "texts")
-        # The filter holds for all pairs; with it Spark may prune by a Bloom filter before it shuffles.
+        # The filter holds for all pairs; with it Spark may prune texts by a Bloom filter of the pairs before they are shuffled.
         rows = pairs.where("a <> b").join(held.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(held.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
         found = rows.select("a", "b", "ta", "tb").mapInArrow(_verify(width, p, q), "a long, b long")
         found = found.join(nodes.select(F.col("doc_id").alias("a"), F.col("rep").alias("ra")), "a").join(nodes.select(F.col("doc_id").alias("b"), F.col("rep").alias("rb")), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-        found = common.saved_in_small_batches(found.distinct(), "links")
-        common.remove_saved(held)
-        return found
+        return common.saved_in_small_batches(found.distinct(), "links")
 
     def grouped() -> DataFrame:
         return common.saved(common.components(functools.reduce(DataFrame.union, links)), "groups")
