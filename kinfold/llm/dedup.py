@@ -160,8 +160,8 @@ def content_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         if fs.get_file_info(path).type == pafs.FileType.Directory:
             fs.delete_dir(path)
 
-    partial = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(collapse, _PARTIAL_DDL)
-    return partial.repartition("digest").mapInArrow(fold, _GROUP_DDL)
+    partial = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(common.streamed(collapse), _PARTIAL_DDL)
+    return partial.repartition("digest").mapInArrow(common.streamed(fold), _GROUP_DDL)
 
 
 def _normalised(text_col: str):

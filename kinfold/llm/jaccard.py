@@ -459,7 +459,7 @@ def similarity_components(docs: DataFrame, width: int = 5, p: int = 80, q: int =
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     buckets = max(8, -(-common.text_bytes(docs, text_col) // bucket_bytes))
 
-    sets = common.saved(texts.mapInArrow(_set_rows(width), _SET_DDL), "sets")
+    sets = common.saved(texts.mapInArrow(common.streamed(_set_rows(width)), _SET_DDL), "sets")
     # Saved, so that the join with it has exchanges of its own and a hot set can be split.
     lowest = common.saved(sets.where("set_hash IS NOT NULL").groupBy("set_hash").agg(F.min("doc_id").alias("rep")), "lowest")
     members = sets.where("set_hash IS NOT NULL").join(lowest, "set_hash").select("doc_id", "n_shingles", "rep")
@@ -486,7 +486,7 @@ def similarity_components(docs: DataFrame, width: int = 5, p: int = 80, q: int =
         """Links (between least ids of equal sets) of the saved pairs (a, b)."""
         # The filter holds for all pairs; with it Spark may prune texts by a Bloom filter of the pairs before they are shuffled.
         rows = pairs.where("a <> b").join(held.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(held.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
-        found = rows.select("a", "b", "ta", "tb").mapInArrow(_verify(width, p, q), "a long, b long")
+        found = rows.select("a", "b", "ta", "tb").mapInArrow(common.streamed(_verify(width, p, q)), "a long, b long")
         found = found.join(nodes.select(F.col("doc_id").alias("a"), F.col("rep").alias("ra")), "a").join(nodes.select(F.col("doc_id").alias("b"), F.col("rep").alias("rb")), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
         return common.saved_in_small_batches(found.distinct(), "links")
 
@@ -498,8 +498,8 @@ def similarity_components(docs: DataFrame, width: int = 5, p: int = 80, q: int =
 
     todo = texts
     for number, (k2, n2) in enumerate(LEVELS):
-        signed = todo.mapInArrow(_signed(width, PartEnum(p, q, k2, n2, seed=number), buckets), "bucket long, direct boolean, sigs binary, docs binary, more binary")
-        shared = common.saved(signed.groupBy("bucket").applyInArrow(_meet(buckets), "sig long, doc long, next long"), "shared")
+        signed = todo.mapInArrow(common.streamed(_signed(width, PartEnum(p, q, k2, n2, seed=number), buckets)), "bucket long, direct boolean, sigs binary, docs binary, more binary")
+        shared = common.saved(signed.groupBy("bucket").applyInArrow(common.grouped(_meet(buckets)), "sig long, doc long, next long"), "shared")
         chain = shared.where("next IS NOT NULL AND doc <> next").select(F.least("doc", "next").alias("a"), F.greatest("doc", "next").alias("b")).distinct()
         first = common.saved(chain.join(side("a"), "a").join(side("b"), "b").where(possible("a", "b")).select("a", "b"), "chained")
         links.append(verified(first))
@@ -523,7 +523,7 @@ def similarity_components(docs: DataFrame, width: int = 5, p: int = 80, q: int =
         cool = (left if last else left.where(F.col("sharers") <= HOT)).withColumn("two", F.explode(two)).select(place.alias("part"), F.xxhash64("sig", "two").alias("sig"), "doc", "comp")
         known = cool.select(F.col("part").alias("own_part"), F.col("doc").alias("own_doc")).distinct()
         known = known.join(nodes.select(F.col("doc_id").alias("own_doc"), "n", "single", *_SKETCH), "own_doc")
-        met = cool.groupBy("part").cogroup(known.groupBy("own_part")).applyInArrow(_meet_openly(p, q), "a long, b long").distinct()
+        met = cool.groupBy("part").cogroup(known.groupBy("own_part")).applyInArrow(common.cogrouped(_meet_openly(p, q)), "a long, b long").distinct()
         pairs = common.saved(met.join(first, ["a", "b"], "left_anti"), "rest")
         if not pairs.isEmpty():
             links.append(verified(pairs))

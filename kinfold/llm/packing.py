@@ -269,7 +269,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int =
         return pa.Table.from_batches([common.batch_of(_PIECE, *zip(*rows, strict=True))], schema=_PIECE)
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return texts.mapInArrow(encode, "grp long, doc_id long, ids binary").groupBy("grp").applyInArrow(pack_group, _PIECE_DDL)
+    return texts.mapInArrow(common.streamed(encode), "grp long, doc_id long, ids binary").groupBy("grp").applyInArrow(common.grouped(pack_group), _PIECE_DDL)
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -432,7 +432,7 @@ def fit_char_model(docs: DataFrame, text_col: str = "text") -> CharModel:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["gram", "n"])
 
-    rows = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
+    rows = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(common.streamed(count), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(_CLASSES**3, np.int64)
     counts[rows["gram"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
     return CharModel(counts)
@@ -518,17 +518,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not n_toxic or not n_clean:
         rate = n_toxic / max(1, n_toxic + n_clean)
         return model, Lexicon([], (math.log((rate + 1e-9) / (1 - rate + 1e-9)), 0.0, 0.0, 0.0))
-    counted = texts.mapInArrow(features, "stem string, times int, doc long, clean long").groupBy("stem", "times").agg(F.count_distinct("doc").alias("toxic"), F.sum("clean").alias("clean"))
+    counted = texts.mapInArrow(common.streamed(features), "stem string, times int, doc long, clean long").groupBy("stem", "times").agg(F.count_distinct("doc").alias("toxic"), F.sum("clean").alias("clean"))
     # Signs that can't be chosen are left out before they are sent; the sample bounds the others.
     least = max(least, math.ceil(share * n_toxic))
     held = counted.where((F.col("toxic") >= least) & (F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1)) >= odds - 0.01)).collect()
     signs = choose_signs([(r["stem"], r["times"], r["toxic"], r["clean"]) for r in held], n_toxic, n_clean, least, odds)
 
-    blanks = {(r["stem"], r["label"] > 0): r["n"] for r in texts.mapInArrow(_across(Lexicon(signs, ())), "stem string, label int").groupBy("stem", "label").agg(F.count("*").alias("n")).collect()}
+    blanks = {(r["stem"], r["label"] > 0): r["n"] for r in texts.mapInArrow(common.streamed(_across(Lexicon(signs, ()))), "stem string, label int").groupBy("stem", "label").agg(F.count("*").alias("n")).collect()}
     clean_of = {stem: n for (stem, toxic), n in blanks.items() if not toxic}
     closed = frozenset(s for s, n in clean_of.items() if log_odds(blanks.get((s, True), 0), n, n_toxic, n_clean) < odds)
 
-    rows = texts.mapInArrow(_features(model, Lexicon(signs, (), closed)), "label int, most double, total double, times double").toPandas()
+    rows = texts.mapInArrow(common.streamed(_features(model, Lexicon(signs, (), closed))), "label int, most double, total double, times double").toPandas()
     return model, Lexicon(signs, fit_logistic(rows[["most", "total", "times"]].to_numpy(float), (rows["label"] > 0).to_numpy(float)), closed)
 
 
@@ -569,7 +569,7 @@ def add_scores(docs: DataFrame, model: CharModel, lexicon: Lexicon, text_col: st
             scores = lexicon.scores(lexicon.features(restorer, batch.column(at).cast(pa.string()), known))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, score_col])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(common.streamed(run), schema)
 
 
 def learnable(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
