@@ -126,13 +126,14 @@ class WordTokenizer:
 
     The tokenizer drops white space and treats what stands between it alone, so texts are split
     and their words numbered by Arrow, each distinct word is looked up once for a stretch of texts, and ids
-    are gathered by NumPy. ``cache`` distinct words at most are kept.
+    are gathered by NumPy. Stretches are of ``TEXT`` bytes, or a longer text; their distinct words are looked up ``DISTINCT`` at a time,
+    and the letters and marks kept are forgotten where there are more than ``cache`` before that.
     """
 
-    #: Words encoded, and ids gathered, at once.
-    WORDS, IDS = 16_384, 1 << 20
+    #: Words encoded, ids gathered, bytes of text split, and distinct words looked up, at once.
+    WORDS, IDS, TEXT, DISTINCT = 16_384, 1 << 20, 4 << 20, 1 << 16
 
-    def __init__(self, path: str, cache: int = 150_000) -> None:
+    def __init__(self, path: str, cache: int = 400_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -149,9 +150,20 @@ class WordTokenizer:
 
     def __call__(self, texts: pa.Array) -> list[bytes]:
         """``texts``: an Arrow array of strings without nulls."""
+        ends = np.r_[0, np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)]
+        found: list[bytes] = []
+        while (at := len(found)) < len(texts):
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + self.TEXT, "right")) - 1)
+            found += self._stretch(texts.slice(at, to - at))
+        return found
+
+    def _stretch(self, texts: pa.Array) -> list[bytes]:
         lists = pc.utf8_split_whitespace(self._lower(texts))
         numbered = lists.flatten().dictionary_encode()
-        codes, words = numbered.indices.to_numpy(), self._look_up(numbered.dictionary.to_pylist())
+        codes, distinct = numbered.indices.to_numpy(), numbered.dictionary
+        words: list[bytes] = []
+        for at in range(0, len(distinct), self.DISTINCT):
+            words += self._look_up(distinct.slice(at, self.DISTINCT).to_pylist())
         sizes = np.fromiter(map(len, words), np.int32, len(words)) // 2
         ids, starts = np.frombuffer(b"".join(words), "<u2"), (np.cumsum(sizes) - sizes).astype(np.int32)
         each = sizes[codes]
@@ -186,27 +198,30 @@ class WordTokenizer:
         if len(known) > self.cache:
             known.clear()
             known[""] = b""
-        plain: dict[str, tuple[str, str]] = {}  # a new word's letters and the marks after them
+        found = [known.get(w) for w in words]
+        parts: list[tuple[int, str, str]] = []  # a new word's place, its letters and the marks after them
+        letters: set[str] = set()
         other: set[str] = set()
-        for w in words:
-            if w not in known:
+        for k, w in enumerate(words):
+            if found[k] is None:
                 core = w.rstrip(_MARKS)
                 if core.isalpha() and (core.isascii() or unicodedata.normalize("NFC", core).lower()[-1].isalpha()):
-                    plain[w] = core, w[len(core) :]
+                    letters.add(core)
                 else:
+                    core = w
                     other.add(w)
-        other.update(marks for _, marks in plain.values())
+                parts.append((k, core, w[len(core) :]))
+        other.update(marks for _, _, marks in parts)
         other.difference_update(known)
-        letters = list({core for core, _ in plain.values()}.difference(known))
-        for at in range(0, len(letters), self.WORDS):
-            self._learn_letters(letters[at : at + self.WORDS])
+        fresh = list(letters.difference(known))
+        for at in range(0, len(fresh), self.WORDS):
+            self._learn_letters(fresh[at : at + self.WORDS])
         rest = list(other)
         for at in range(0, len(rest), self.WORDS):
             self._learn(rest[at : at + self.WORDS])
-        for w, (core, marks) in plain.items():
-            if marks:
-                known[w] = known[core] + known[marks]
-        return [known[w] for w in words]
+        for k, core, marks in parts:  # kept are letters and marks, not what they make together
+            found[k] = known[core] + known[marks]
+        return found
 
     def _learn_letters(self, words: list[str]) -> None:
         """Words of letters alone: each ends where a token says that it ends a word."""
@@ -245,7 +260,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int =
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run, task, times = WordTokenizer(tokenizer), TaskContext.get().partitionId(), {}
-        for batch in common.larger(batches, 4 * common.BATCH_ROWS, common.BATCH_BYTES):
+        for batch in common.larger(batches, 4 * common.BATCH_ROWS, WordTokenizer.TEXT):
             blobs, grp = [x + end for x in run(pc.fill_null(batch.column("text"), ""))], []
             for doc_id, blob in zip(batch.column("id").to_pylist(), blobs, strict=True):
                 key = xxhash.xxh3_64_intdigest(blob, seed=(doc_id or 0) & (1 << 63) - 1)
